@@ -43,7 +43,10 @@ def query(build: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Round as decimals, so that both engines treat ties alike."""
+    return df.withColumns({
+        c: F.round(F.col(c).cast("decimal(28,8)"), digits).cast("double") for c in columns
+    })
 
 
 def fresh_path(w: Workspace, label: str) -> str:
@@ -129,9 +132,8 @@ def loaded_fact_orders(w):
         F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("order_purchase_timestamp"),
         F.col("order_delivered_customer_date").cast("timestamp_ntz")
         .alias("order_delivered_customer_date"),
-        "total_price", "total_freight", "item_count", F.round("avg_review_score", 6)
-        .alias("avg_review_score"),
-    )
+        "total_price", "total_freight", "item_count", "avg_review_score",
+    ).transform(rounded, 6, "avg_review_score")
 
 
 @query

@@ -7,8 +7,14 @@ from pyspark.sql import types as T
 LAYERS = ("raw_data", "staging", "warehouse")
 
 
+_TYPES = {
+    "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(), "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _schema(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns.items()))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
 
 
 RAW_SCHEMAS: dict[str, T.StructType] = {
