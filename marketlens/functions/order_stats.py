@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -23,7 +23,13 @@ def coarse_bucket(value: Column, resolution: int) -> Column:
     so there are at most ``2 * 710 * resolution`` buckets whatever the data.
     """
     size = F.floor(F.log1p(F.abs(value)) * resolution)
-    return F.when(value < 0, -size).otherwise(size).cast("long")
+    # Declared never null: a join on it then adds no filter of its own, and both
+    # readers of the value counts share one shuffle.
+    return F.coalesce(F.when(value < 0, -size).otherwise(size).cast("long"), F.lit(0))
+
+
+def _running(*by: str, order: str) -> WindowSpec:
+    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def _value_counts(df: DataFrame, value: Column, by: Sequence[str], resolution: int) -> DataFrame:
@@ -40,7 +46,7 @@ def _bucket_spans(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     bounded by ``coarse_bucket``.
     """
     totals = counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_held"))
-    ordered = Window.partitionBy(*by).orderBy("_bucket")
+    ordered = _running(*by, order="_bucket")
     return totals.select(
         *by, "_bucket", "_held",
         (F.sum("_held").over(ordered) - F.col("_held")).alias("_before"),
@@ -74,7 +80,7 @@ def quantiles(
     # Without groups at most two buckets per probability remain.
     wanted = spans.where(needed) if by else F.broadcast(spans.where(needed))
 
-    within = Window.partitionBy(*by, "_bucket").orderBy("_value")
+    within = _running(*by, "_bucket", order="_value")
     placed = counts.join(wanted, [*by, "_bucket"]).withColumn(
         "_first", before + F.sum("_n").over(within) - F.col("_n")
     )
@@ -108,7 +114,7 @@ def rank_descending(df: DataFrame, column: str, name: str = "rank", resolution:
     """
     counts = _value_counts(df, -F.col(column), (), resolution)
     spans = _bucket_spans(counts, ()).select("_bucket", "_before")
-    within = Window.partitionBy("_bucket").orderBy("_value")
+    within = _running("_bucket", order="_value")
     ranks = counts.join(spans, "_bucket").select(
         (-F.col("_value")).alias("_ranked"),
         (F.col("_before") + F.sum("_n").over(within) - F.col("_n") + 1).alias(name),

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import to_number
 from marketlens.functions.order_stats import column_quantiles
 
 
@@ -59,14 +58,21 @@ def minmax(
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, long form: (feature_a, feature_b, correlation).
 
-    Each pair skips its own nulls; all pairs come from one pass.
+    Each pair skips its own nulls; all pairs come from one pass. A constant
+    feature has no correlation (null).
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                   for a, b in pairs])
+
+    def pearson(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        dev_x = F.stddev_pop(F.when(y.isNotNull(), x))
+        dev_y = F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), dev_x * dev_y)
+
+    row = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     cells = [
         F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"),
-                 to_number(F.col(f"`{a}|{b}`")).alias("correlation"))
+                 F.col(f"`{a}|{b}`").alias("correlation"))
         for a, b in pairs for x, y in dict.fromkeys([(a, b), (b, a)])
     ]
     return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
