@@ -36,6 +36,11 @@ class Workspace:
             cls._open[key] = cls(spark, sf_dir)
         return cls._open[key]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Start over: the next query builds its tables from the inputs again."""
+        cls._open.clear()
+
     def raw(self, name: str) -> DataFrame:
         return RAW_TABLES[name](self.spark, self.sf_dir)
 

@@ -25,8 +25,8 @@ def check_constraints(
     parts = []
     if primary_key:
         surplus = (
-            df.groupBy(*primary_key).agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations"))
+            df.groupBy(*primary_key).agg(F.count(F.lit(1)).alias("_copies"))
+            .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("long").alias("violations"))
         )
         parts.append(surplus.select(
             F.lit(table).alias("table_name"), F.lit("primary_key").alias("rule"),
