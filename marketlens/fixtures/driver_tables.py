@@ -25,14 +25,26 @@ MESSAGES = (
 )
 
 
-def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+LARGE_TABLES = ("orders", "lineitem", "documents")
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table.
+
+    A large table that comes in fewer splits than there are cores, such as a
+    single small file, is spread out first; more splits are left as they are.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LARGE_TABLES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders plus the integer key ``k`` the other tables derive from."""
     return (
-        _source(spark, sf_dir, "orders")
+        source(spark, sf_dir, "orders")
         .selectExpr(
             "o_orderkey as k", "o_custkey", "o_totalprice",
             "case when o_orderkey % 37 = 0 then 'canceled'"
@@ -72,7 +84,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = _keyed_orders(spark, sf_dir).select("k", "order_purchase_timestamp")
-    lines = _source(spark, sf_dir, "lineitem")
+    lines = source(spark, sf_dir, "lineitem")
     return lines.join(keyed, lines.l_orderkey == keyed.k).selectExpr(
         "cast(l_orderkey as string) as order_id",
         "l_linenumber as order_item_id",
@@ -121,8 +133,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _source(spark, sf_dir, "nation")
-    customer = _source(spark, sf_dir, "customer")
+    nation = source(spark, sf_dir, "nation")
+    customer = source(spark, sf_dir, "customer")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
         "cast(c_custkey as string) as customer_id",
         "concat('u', c_custkey - c_custkey % 3) as customer_unique_id",
@@ -133,8 +145,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _source(spark, sf_dir, "nation")
-    supplier = _source(spark, sf_dir, "supplier")
+    nation = source(spark, sf_dir, "nation")
+    supplier = source(spark, sf_dir, "supplier")
     home = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         "s_suppkey", "s_nationkey", "n_name"
     )
@@ -151,7 +163,7 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _source(spark, sf_dir, "part").selectExpr(
+    return source(spark, sf_dir, "part").selectExpr(
         "cast(p_partkey as string) as product_id",
         "case when p_partkey % 41 <> 0 then concat(lower(p_type), '_', p_partkey % 12) end"
         " as product_category_name",
@@ -179,7 +191,7 @@ def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _source(spark, sf_dir, "nation")
+        source(spark, sf_dir, "nation")
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(2))))
         .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(1))))
         .selectExpr(

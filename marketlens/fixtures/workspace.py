@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.fixtures.driver_tables import RAW_TABLES
+from marketlens.fixtures.driver_tables import RAW_TABLES, source
 from marketlens.functions.scaling import standardize
 from marketlens.operators import (
     activity, cleaning, clustering, fairness, features, reviews, sales, scoring, segments,
@@ -36,16 +36,11 @@ class Workspace:
             cls._open[key] = cls(spark, sf_dir)
         return cls._open[key]
 
-    @classmethod
-    def forget(cls) -> None:
-        """Start over: the next query builds its tables from the inputs again."""
-        cls._open.clear()
-
     def raw(self, name: str) -> DataFrame:
         return RAW_TABLES[name](self.spark, self.sf_dir)
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return source(self.spark, self.sf_dir, name)
 
     # Staging.
     @cached_property
@@ -156,9 +151,9 @@ class Workspace:
 
     @cached_property
     def by_order_value(self) -> DataFrame:
-        quarter = scoring.quarter_index(self.segment_input, "avg_order_value")
         return materialize(
-            self.segment_input.withColumn("seller_cluster", quarter), "order-value-segments")
+            scoring.with_quarter(self.segment_input, "avg_order_value", "seller_cluster"),
+            "order-value-segments")
 
     @cached_property
     def profile(self) -> DataFrame:

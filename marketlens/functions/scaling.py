@@ -1,7 +1,7 @@
 """Scalers and table summaries built on one-row statistics.
 
-Statistics enter as scalar subqueries: Spark computes the one row once and no
-join is needed.
+Statistics enter as one scalar subquery, carried as a struct column while it is
+needed: Spark computes the one row once and no join is involved.
 """
 
 from __future__ import annotations
@@ -14,24 +14,28 @@ from pyspark.sql import functions as F
 from marketlens.functions.order_stats import column_quantiles
 
 
-def _one_row(df: DataFrame, **measures: Column) -> Column:
-    return df.agg(F.struct(*[m.alias(k) for k, m in measures.items()])).scalar()
+def with_statistics(df: DataFrame, source: DataFrame | None = None, **measures: Column) -> DataFrame:
+    """Add ``_stats``, a struct of aggregates over ``source`` (``df`` itself by default)."""
+    row = (df if source is None else source).agg(
+        F.struct(*[m.alias(k) for k, m in measures.items()])
+    )
+    return df.withColumn("_stats", row.scalar())
 
 
 def standardize(df: DataFrame, columns: Sequence[str], prefix: str = "z_") -> DataFrame:
     """Add (x - mean) / population deviation; constant columns become 0."""
-    stats = _one_row(
+    known = with_statistics(
         df,
         **{f"{c}_mean": F.avg(c) for c in columns},
         **{f"{c}_dev": F.stddev_pop(c) for c in columns},
     )
 
     def scaled(c: str) -> Column:
-        dev = stats.getField(f"{c}_dev")
-        shifted = F.col(c) - stats.getField(f"{c}_mean")
+        dev = F.col(f"_stats.{c}_dev")
+        shifted = F.col(c) - F.col(f"_stats.{c}_mean")
         return F.when(dev > 0, shifted / dev).otherwise(shifted * 0.0)
 
-    return df.withColumns({f"{prefix}{c}": scaled(c) for c in columns})
+    return known.withColumns({f"{prefix}{c}": scaled(c) for c in columns}).drop("_stats")
 
 
 def minmax(
@@ -41,18 +45,18 @@ def minmax(
 
     Constant columns become 0 before inversion.
     """
-    stats = _one_row(
+    known = with_statistics(
         df,
         **{f"{c}_min": F.min(c) for c in columns},
         **{f"{c}_max": F.max(c) for c in columns},
     )
 
     def scaled(c: str) -> Column:
-        low, high = stats.getField(f"{c}_min"), stats.getField(f"{c}_max")
+        low, high = F.col(f"_stats.{c}_min"), F.col(f"_stats.{c}_max")
         unit = F.when(high > low, (F.col(c) - low) / (high - low)).otherwise(F.col(c) * 0.0)
         return 1.0 - unit if c in inverted else unit
 
-    return df.withColumns({f"{prefix}{c}": scaled(c) for c in columns})
+    return known.withColumns({f"{prefix}{c}": scaled(c) for c in columns}).drop("_stats")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.columns import known, to_number, to_timestamp
 from marketlens.functions.order_stats import column_quantiles
+from marketlens.functions.scaling import with_statistics
 from marketlens.rules import OrderRules
 
 ORDER_TIMESTAMPS = (
@@ -96,13 +97,15 @@ def clean_products(products: DataFrame) -> DataFrame:
         changes["product_category_name"] = F.coalesce(
             F.col("product_category_name").cast("string"), F.lit("unknown")
         )
-    if sizes:
-        typed = products.select(*[to_number(F.col(c)).alias(c) for c in sizes])
-        middle = column_quantiles(typed, sizes, [0.5]).agg(F.struct(*[
-            F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("q0"))), F.lit(0.0)).alias(c)
-            for c in sizes
-        ])).scalar()
-        for c in sizes:
-            size = to_number(F.col(c))
-            changes[c] = F.when(size > 0, size).otherwise(middle.getField(c))
-    return products.withColumns(changes)
+    if not sizes:
+        return products.withColumns(changes)
+    typed = products.select(*[to_number(F.col(c)).alias(c) for c in sizes])
+    medians = column_quantiles(typed, sizes, [0.5])
+    known = with_statistics(products, medians, **{
+        c: F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("q0"))), F.lit(0.0))
+        for c in sizes
+    })
+    for c in sizes:
+        size = to_number(F.col(c))
+        changes[c] = F.when(size > 0, size).otherwise(F.col(f"_stats.{c}"))
+    return known.withColumns(changes).drop("_stats")

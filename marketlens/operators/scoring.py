@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
-from operator import add
+from operator import add, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.order_stats import histogram, quantiles
-from marketlens.functions.scaling import minmax
+from marketlens.functions.scaling import minmax, with_statistics
 from marketlens.rules import COST_FEATURES, SCORE_WEIGHTS, TIERS
 
 QUARTERS = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -27,34 +27,31 @@ def seller_score(features: DataFrame, weights: Mapping[str, float] = SCORE_WEIGH
     return scaled.withColumn("final_score", total * 100.0).drop(*[f"m_{c}" for c in weights])
 
 
-def quarter_index(df: DataFrame, column: str, digits: int = 6) -> Column:
-    """Quartile 0..3 of a column; intervals are closed above, the lowest also below.
+def with_quarter(df: DataFrame, column: str, into: str, digits: int = 6) -> DataFrame:
+    """Add the quartile 0..3 of a column; intervals are closed above, the lowest also below.
 
     Equal edges are an error, because then no four groups exist. The column is
     rounded first, so that the cut does not hang on the last bits of a double.
+    ``df`` is read twice: pass a stored table.
     """
     rounded = df.select(F.round(F.col(column), digits).alias("value"))
-    edges = quantiles(rounded, "value", QUARTERS).select(
-        F.struct(*[f"q{i}" for i in range(len(QUARTERS))])
-    ).scalar()
-    q = [edges.getField(f"q{i}") for i in range(len(QUARTERS))]
-    equal = reduce(lambda a, b: a | b, [low >= high for low, high in zip(q, q[1:])])
+    edges = quantiles(rounded, "value", QUARTERS)
+    known = with_statistics(df, edges, **{f"q{i}": F.max(f"q{i}") for i in range(len(QUARTERS))})
+    q = [F.col(f"_stats.q{i}") for i in range(len(QUARTERS))]
+    equal = reduce(or_, [low >= high for low, high in zip(q, q[1:])])
     value = F.round(F.col(column), digits)
-    return (
+    quarter = (
         F.when(equal, F.raise_error(F.lit(f"quartile edges of {column} are not unique")).cast("int"))
         .when(value <= q[1], 0).when(value <= q[2], 1).when(value <= q[3], 2)
         .when(value.isNotNull(), 3)
     )
+    return known.withColumn(into, quarter).drop("_stats")
 
 
 def score_tier(scored: DataFrame, column: str = "final_score") -> DataFrame:
-    """Add the quartile tier (``segment``) and its rank; ties stay together.
-
-    ``scored`` is read twice: pass a stored table.
-    """
-    out = scored.withColumn("segment_rank", quarter_index(scored, column))
+    """Add the quartile tier (``segment``) and its rank; ties stay together."""
     tier = F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.col("segment_rank") + 1)
-    return out.withColumn("segment", tier)
+    return with_quarter(scored, column, "segment_rank").withColumn("segment", tier)
 
 
 def top_sellers(tiered: DataFrame, count: int = 10) -> DataFrame:

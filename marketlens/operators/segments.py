@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens import rules
 from marketlens.functions.order_stats import quantiles
+from marketlens.functions.scaling import with_statistics
 from marketlens.rules import SEGMENT_FEATURES, TIERS
 
 
@@ -34,22 +35,22 @@ def persona_label(profile: DataFrame) -> DataFrame:
     A cluster stands out against the plain mean over clusters: above 1.5 times or
     below 0.7 times of it.
     """
-    means = profile.agg(F.struct(*[
-        F.avg(c).alias(c) for c in ("avg_order_value", "avg_weight_g", "market_reach")
-    ])).scalar()
+    known = with_statistics(profile, **{
+        c: F.avg(c) for c in ("avg_order_value", "avg_weight_g", "market_reach")
+    })
 
     def against(column: str, high: str, low: str | None) -> Column:
-        mean = means.getField(column)
+        mean = F.col(f"_stats.{column}")
         name = F.when(F.col(column) > mean * 1.5, high)
         return name.when(F.col(column) < mean * 0.7, low) if low else name
 
-    return profile.withColumn("persona", F.concat_ws(
+    return known.withColumn("persona", F.concat_ws(
         " + ",
         against("avg_order_value", rules.PERSONA_HIGH_TICKET, rules.PERSONA_LOW_COST),
         against("avg_weight_g", rules.PERSONA_BULKY, rules.PERSONA_LIGHTWEIGHT),
         F.coalesce(against("market_reach", rules.PERSONA_NATIONAL, None),
                    F.lit(rules.PERSONA_LOCAL)),
-    ))
+    )).drop("_stats")
 
 
 def seller_matrix(tiered: DataFrame, labelled: DataFrame) -> DataFrame:
