@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketlens.fixtures.driver_tables import RAW_TABLES, source
-from marketlens.functions.scaling import standardize
 from marketlens.operators import (
-    activity, cleaning, clustering, fairness, features, reviews, sales, scoring, segments,
-    sellers, ward, warehouse,
+    activity, cleaning, clustering, fairness, features, sales, scoring, segments, sellers,
+    warehouse,
 )
 from marketlens.plans import scoring as scoring_plan
 from marketlens.rules import MODEL_FEATURES
@@ -140,8 +137,10 @@ class Workspace:
         columns = ["seller_id", "gmv", "total_orders", *MODEL_FEATURES]
         vectors = clustering.standardized_vectors(
             self.tiered.select(*dict.fromkeys(columns)), MODEL_FEATURES)
-        return materialize(vectors.repartitionByRange("seller_id").sortWithinPartitions("seller_id"),
-                           "model-vectors")
+        # Without a number of partitions their size decides, so small data does not
+        # cost every k-means step a task per core.
+        laid_out = vectors.repartitionByRange("seller_id").sortWithinPartitions("seller_id")
+        return materialize(laid_out, "model-vectors")
 
     # Segments, on a label every engine can compute: the order value quartile.
     @cached_property

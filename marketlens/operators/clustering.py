@@ -127,8 +127,10 @@ def feature_importance(
     assembled = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
         labelled.select(*columns, F.col(cluster).cast("double").alias("_label"))
     )
+    # Trees are as deep as Spark allows; remembering each row's node saves walking
+    # them from the root at every level.
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed,
+        numTrees=trees, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
         featuresCol="_features", labelCol="_label",
     ).fit(assembled)
     return labelled.sparkSession.createDataFrame(

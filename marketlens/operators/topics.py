@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from marketlens.functions.text import model_tokens, tokens, without
 from marketlens.rules import SHOPPING_STOP_WORDS
 
+MAX_VOCABULARY = 1_000_000
+
 
 def portuguese_stop_words(extra: Sequence[str] = ()) -> list[str]:
     """Spark's Portuguese stop words plus ``extra`` (needs a running session)."""
@@ -73,11 +75,14 @@ def vectorize(
     """Bag-of-words vectors over ``terms``.
 
     The vocabulary is the model itself, so it lives on the driver like every
-    Spark vocabulary; ``min_df`` and ``max_features`` bound it.
+    Spark vocabulary. One too large for a topic matrix is refused, not cut.
     """
-    words = [r.term for r in terms.orderBy(F.desc("term_frequency"), "term").select("term").collect()]
+    ordered = terms.select("term", "term_frequency").limit(MAX_VOCABULARY + 1)
+    words = [r.term for r in ordered.orderBy(F.desc("term_frequency"), "term").collect()]
     if not words:
         raise ValueError("no terms remain, lower min_df or raise max_df")
+    if len(words) > MAX_VOCABULARY:
+        raise ValueError(f"more than {MAX_VOCABULARY} terms, raise min_df or set max_features")
     model = CountVectorizerModel.from_vocabulary(words, inputCol="_words", outputCol=into)
     prepared = df.withColumn("_words", without(model_tokens(F.col(text)), stop_words))
     return model.transform(prepared).drop("_words"), model

@@ -14,34 +14,35 @@ from marketlens.sources.schemas import LAYERS
 def check_constraints(
     df: DataFrame, table: str, primary_key: Sequence[str], not_null: Sequence[str] = (),
 ) -> DataFrame:
-    """Violations per rule: (table, rule, columns, violations).
+    """Violations per rule: (table_name, rule, columns, violations).
 
     A repeated key counts once per surplus row; key columns must not be null
-    either. Keys are combined on the map side, so a key that repeats often
-    reaches the shuffle as one row per task.
+    either. One pass: rows are combined per key on the map side, so a key that
+    repeats often reaches the shuffle as one row per task.
     """
     required = list(dict.fromkeys([*primary_key, *not_null]))
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]) if required else None
-    parts = []
+    missing = {f"_null{i}": c for i, c in enumerate(required)}
     if primary_key:
-        surplus = (
-            df.groupBy(*primary_key).agg(F.count(F.lit(1)).alias("_copies"))
-            .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("long").alias("violations"))
+        per_key = df.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(primary_key)]).agg(
+            F.count(F.lit(1)).alias("_copies"),
+            *[F.count_if(F.col(c).isNull()).alias(n) for n, c in missing.items()],
         )
-        parts.append(surplus.select(
-            F.lit(table).alias("table_name"), F.lit("primary_key").alias("rule"),
-            F.lit(",".join(primary_key)).alias("columns"), "violations",
-        ))
-    if nulls is not None:
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("columns"), F.col(c).cast("long").alias("violations"))
-            for c in required
-        ]))
-        parts.append(nulls.select(rows.alias("r")).select(
-            F.lit(table).alias("table_name"), F.lit("not_null").alias("rule"),
-            "r.columns", "r.violations",
-        ))
-    return reduce(DataFrame.unionByName, parts)
+        row = per_key.agg(F.sum(F.col("_copies") - 1).alias("_surplus"),
+                          *[F.sum(n).alias(n) for n in missing])
+    else:
+        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(n) for n, c in missing.items()])
+
+    def finding(rule: str, columns: str, violations: str):
+        count = F.coalesce(F.col(violations), F.lit(0)).cast("long")
+        return F.struct(F.lit(rule).alias("rule"), F.lit(columns).alias("columns"),
+                        count.alias("violations"))
+
+    findings = [finding("not_null", c, n) for n, c in missing.items()]
+    if primary_key:
+        findings.insert(0, finding("primary_key", ",".join(primary_key), "_surplus"))
+    return row.select(F.lit(table).alias("table_name"), F.explode(F.array(*findings)).alias("f")).select(
+        "table_name", "f.*"
+    )
 
 
 def row_count_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -3,8 +3,6 @@ from __future__ import annotations
 from datetime import datetime as dt, timedelta
 
 import pytest
-from pyspark.sql import functions as F
-
 from marketlens.operators import activity, fairness, features
 
 NOW = dt(2021, 6, 30, 12)
