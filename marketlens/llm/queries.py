@@ -4,20 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marketlens.llm import language
 from marketlens.llm.neardup import near_duplicates
 from marketlens.llm.words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def held_out(modulus: int, rest: int) -> Column:
+    """Whether a row is kept from learning: crc32 of its id as text; never for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == rest, F.lit(False))
+
+
+def language_model(documents: DataFrame) -> language.LanguageModel:
+    return language.fit(documents.filter(~held_out(4, 2)).select("doc_id", "text", "lang"))
+
+
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = language.identify(documents, language_model(documents))
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_near_duplicates,)}
+    return {f.__name__: f for f in (op8_languages, op9_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
