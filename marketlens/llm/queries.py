@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import language
+from marketlens.llm import language, quality, toxicity
 from marketlens.llm.neardup import near_duplicates
 from marketlens.llm.words import table
 
@@ -23,6 +23,17 @@ def language_model(documents: DataFrame) -> language.LanguageModel:
     return language.fit(documents.filter(~held_out(4, 2)).select("doc_id", "text", "lang"))
 
 
+def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Forest:
+    return quality.fit(documents, labels.filter(~held_out(3, 1)))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    forest = quality_model(documents, table(spark, sf_dir, "labels"))
+    return quality.score_quality(documents, forest).select(
+        "doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
 def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = language.identify(documents, language_model(documents))
@@ -33,8 +44,15 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels").filter(~held_out(3, 1)))
+    return toxicity.score_toxicity(documents, model).select(
+        "doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_languages, op9_near_duplicates)}
+    return {f.__name__: f for f in (op4_quality, op8_languages, op9_near_duplicates, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
