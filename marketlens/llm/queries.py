@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import language, quality, toxicity
+from marketlens.llm import bpe, language, packing, quality, toxicity
 from marketlens.llm.neardup import near_duplicates
 from marketlens.llm.words import table
 
@@ -23,6 +23,17 @@ def language_model(documents: DataFrame) -> language.LanguageModel:
     return language.fit(documents.filter(~held_out(4, 2)).select("doc_id", "text", "lang"))
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Forest:
     return quality.fit(documents, labels.filter(~held_out(3, 1)))
 
@@ -52,7 +63,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_quality, op8_languages, op9_near_duplicates, op10_toxicity)}
+    return {f.__name__: f for f in (
+        op1_bpe, op3_packing, op4_quality, op8_languages, op9_near_duplicates, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
