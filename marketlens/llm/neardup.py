@@ -9,9 +9,11 @@ entered four times, each time with one value left open. Every link is then
 confirmed on the full shingle sets.
 
 Nothing emits the pairs of a bucket. Equal texts are one class from the start.
-A bucket first links its members to its smallest one; what that connects needs
-no further pairs. Only members of different components are compared with one
-another, in blocks of bounded size, and only pairs of near signatures leave a block.
+A text is first held against one centre of its buckets; what that connects needs
+no further pairs. Where a bucket still holds several components, near signatures
+between them name the families in which a link may be missing, and a family is
+settled on full sets, in blocks of bounded size. A block hands on only as many
+pairs as join its components.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from marketlens.session import materialize
 
 SLOTS, CHUNKS = 64, 16
 MAX_DIFFERING = 31
-BLOCK_ROWS = 1_500
+BLOCK_ROWS = 1_500       # members of a bucket in one block
+BLOCK_BYTES = 4 << 20    # bytes of sets of a family in one block
 CHUNK_COLUMNS = [f"s{c}" for c in range(CHUNKS)]
 SCHEMA = "doc_id long, class_a long, class_b long, n_shingles long, " + ", ".join(
     f"{c} long" for c in CHUNK_COLUMNS)
@@ -171,50 +174,142 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(members: DataFrame, rows_per_block: int) -> DataFrame:
-    """Pairs of members of one bucket in different components with near signatures.
-
-    A bucket is dealt into blocks of about ``rows_per_block``; each pair of blocks
-    is one group of bounded size.
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Cut sorted batches so that every one handed on ends with the end of a group."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch[k].to_numpy() for k in keys])
+        last = int(np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0)])[-1])
+        held = batch.slice(last)
+        if last:
+            yield batch.slice(0, last)
+    if held is not None:
+        yield held
+
+
+def _starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    marks = np.stack([batch[k].to_numpy() for k in keys])
+    return np.r_[np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0)]), batch.num_rows]
+
+
+def _forest(rows: np.ndarray, label: np.ndarray, near) -> list[tuple[int, int]]:
+    """Pairs of ``near`` that join different labels, none twice; ``label`` is merged along."""
+    out = []
+    for i in rows:
+        other = near(i)
+        other = other[label[other] != label[i]]
+        if len(other):
+            met, first = np.unique(label[other], return_index=True)
+            out += [(i, j) for j in other[first]]
+            label[np.isin(label, met)] = label[i]
+    return out
+
+
+def _pairs(ids: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    at = np.array(pairs, np.int64).reshape(-1, 2)
+    x, y = ids[at[:, 0]], ids[at[:, 1]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+
+def open_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of near signatures that join the different components of a bucket.
+
+    All pairs of a bucket are looked at, but only as many leave it as join its
+    components: no pair of near signatures is outside the groups they form.
+    A bucket is dealt into blocks of BLOCK_ROWS; each pair of blocks is one group.
     """
-    dealt = (members.withColumn("blocks", F.ceil(F.col("n") / rows_per_block).cast("int"))
+    keys = ["slot", "key", "p", "q"]
+    dealt = (members.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
              .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
-             .select("slot", "key", "p", "q", "own", "doc_id", "component_id", *CHUNK_COLUMNS))
-
-    def near(rows: pa.RecordBatch, groups: np.ndarray) -> pa.RecordBatch:
-        ids, comp = rows["doc_id"].to_numpy(), rows["component_id"].to_numpy()
-        sig = np.stack([rows[c].to_numpy() for c in CHUNK_COLUMNS], axis=1).view("<u2")
-        own, p, q = (rows[c].to_numpy() for c in ("own", "p", "q"))
-        a, b = [], []
-        for start, end in zip(groups[:-1], groups[1:]):
-            left = np.arange(start, end)
-            left, right = left[own[start:end] == p[start]], left[own[start:end] == q[start]]
-            for i in left:
-                rest = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) | (p[i] != q[i]))]
-                rest = rest[(sig[rest] != sig[i]).sum(axis=1) <= MAX_DIFFERING]
-                a.append(np.minimum(ids[rest], ids[i]))
-                b.append(np.maximum(ids[rest], ids[i]))
-        none = [np.zeros(0, np.int64)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(none + x)) for x in (a, b)], names=["a", "b"])
+             .select(*keys, "own", "doc_id", "component_id", *CHUNK_COLUMNS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if held is not None:
-                batch = pa.concat_batches([held, batch])
-            marks = np.stack([batch[c].to_numpy() for c in ("slot", "key", "p", "q")])
-            starts = np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0)])
-            held = batch.slice(int(starts[-1]))
-            yield near(batch, starts)
-        if held is not None:
-            yield near(held, np.array([0, held.num_rows]))
+        for batch in _whole_groups(batches, keys):
+            ids, comp = batch["doc_id"].to_numpy(), batch["component_id"].to_numpy()
+            sig = np.ascontiguousarray(np.stack([batch[c].to_numpy() for c in CHUNK_COLUMNS], axis=1)).view("<u2")
+            own, p, q = (batch[c].to_numpy() for c in ("own", "p", "q"))
+            pairs = []
+            starts = _starts(batch, keys)
+            for start, end in zip(starts[:-1], starts[1:]):
+                label, sigs = comp[start:end].copy(), sig[start:end]
+                right = np.flatnonzero(own[start:end] == q[start])
+
+                def near(i: int, label=label, sigs=sigs, right=right) -> np.ndarray:
+                    rest = right[label[right] != label[i]]
+                    return rest[(sigs[rest] != sigs[i]).sum(axis=1) <= MAX_DIFFERING]
+
+                left = np.flatnonzero(own[start:end] == p[start])
+                pairs += [(start + i, start + j) for i, j in _forest(left, label, near)]
+            yield _pairs(ids, pairs)
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
-    at = ["slot", "key", "p", "q"]
-    grouped = dealt.repartition(*at).sortWithinPartitions(*at)
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+
+def family_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of a family: (family, component_id, doc_id, items), exactly.
+
+    Every text outside the largest component is compared with the whole family on
+    full sets. Families are dealt into blocks of about BLOCK_BYTES of sets, and as
+    many links leave a pair of blocks as join its components.
+    """
+    keys = ["family", "p", "q"]
+    size = F.sum(F.octet_length("items"))
+    parts = members.groupBy("family", "component_id").agg(size.alias("bytes"))
+    plan = parts.groupBy("family").agg(
+        F.sum("bytes").alias("total"), F.max(F.struct("bytes", "component_id")).alias("main"))
+
+    def count(x: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(x / BLOCK_BYTES)).cast("int")
+
+    dealt = (members.join(plan, "family")
+             .withColumn("others", count(F.col("total") - F.col("main.bytes")))
+             .withColumn("mains", count(F.col("main.bytes")))
+             .withColumn("is_main", F.col("component_id") == F.col("main.component_id"))
+             .withColumn("h", F.xxhash64("doc_id"))
+             .withColumn("own", F.when(F.col("is_main"), F.col("others") + F.expr("pmod(h, mains)"))
+                         .otherwise(F.expr("pmod(h, others)")).cast("int"))
+             .withColumn("last", F.when(F.col("is_main"), F.col("others"))
+                         .otherwise(F.col("others") + F.col("mains")) - 1)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+             .withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
+             .select(*keys, "own", "doc_id", "component_id", "items"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(batches, keys):
+            ids, comp = batch["doc_id"].to_numpy(), batch["component_id"].to_numpy()
+            own, p, q = (batch[c].to_numpy() for c in ("own", "p", "q"))
+            sets, pairs = batch["items"], []
+            starts = _starts(batch, keys)
+            for start, end in zip(starts[:-1], starts[1:]):
+                label = comp[start:end].copy()
+                items = [np.frombuffer(sets[i].as_buffer(), "<u8") for i in range(start, end)]
+                right = np.flatnonzero(own[start:end] == q[start])
+                if not len(right):
+                    continue
+                sizes = np.array([len(x) for x in items])
+                every = np.concatenate([items[j] for j in right])
+                holder = np.repeat(right, sizes[right])
+                order = np.argsort(every, kind="stable")
+                every, holder = every[order], holder[order]
+
+                def near(i: int, items=items, sizes=sizes, every=every, holder=holder, right=right) -> np.ndarray:
+                    low, high = np.searchsorted(every, items[i], "left"), np.searchsorted(every, items[i], "right")
+                    width = high - low
+                    at = np.repeat(low - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(width.sum())
+                    both = np.bincount(holder[at], minlength=len(items))
+                    return np.flatnonzero((both > 0) & (100 * both >= percent * (sizes + sizes[i] - both)))
+
+                left = np.flatnonzero(own[start:end] == p[start])
+                pairs += [(start + i, start + j) for i, j in _forest(left, label, near)]
+            yield _pairs(ids, pairs)
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -240,11 +335,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     buckets = keys.groupBy("slot", "key").agg(
         F.min("doc_id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     members = materialize(keys.join(buckets, ["slot", "key"]), "buckets")
-    stars = members.filter("doc_id != centre").select(
-        F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    nearest = materialize(
-        near_signatures(stars, reps).groupBy("b").agg(F.min(F.struct("apart", "a")).alias("best"))
-        .select(F.col("best.a").alias("a"), "b"), "stars")
+    # a text first tries the smallest member that it meets in most of its buckets
+    stars = (members.filter("doc_id != centre").groupBy("doc_id", "centre").agg(F.count("*").alias("met"))
+             .groupBy("doc_id").agg(F.max(F.struct("met", (-F.col("centre")).alias("minus"))).alias("best"))
+             .select((-F.col("best.minus")).alias("a"), F.col("doc_id").alias("b")))
+    nearest = materialize(near_signatures(stars, reps), "stars")
     links = materialize(confirmed(nearest, texts, shingle, percent), "links")
     first = components(links)
 
@@ -253,10 +348,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     mixed = labelled.groupBy("slot", "key").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high")).filter("low != high")
     open_members = labelled.join(mixed.select("slot", "key"), ["slot", "key"], "left_semi").join(reps, "doc_id")
-    tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialize(_across(open_members, BLOCK_ROWS), "pairs-across")
-    more = confirmed(rest.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), texts, shingle, percent)
-    groups = components(materialize(tried.unionByName(more), "links"))
+    joins = materialize(open_pairs(open_members), "open-pairs")
+    families = components(materialize(joins.unionByName(links), "family-links")).withColumnRenamed(
+        "component_id", "family")
+    unsettled = families.join(joins.select(F.col("a").alias("doc_id")), "doc_id", "left_semi").select("family").distinct()
+    related = (families.join(unsettled, "family").join(first, "doc_id", "left")
+               .select("family", F.coalesce("component_id", "doc_id").alias("component_id"), "doc_id"))
+    sets = shingle_sets(texts.join(related.select("doc_id"), "doc_id", "left_semi"), shingle).dropDuplicates(["doc_id"])
+    members_of = materialize(related.join(sets, "doc_id"), "families")
+    more = materialize(family_links(members_of, percent), "links-across")
+    groups = components(materialize(links.unionByName(more), "links"))
 
     classes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("class_a", "class_b").agg(
         F.min("doc_id").alias("rep"))
