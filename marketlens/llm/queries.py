@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm import bpe, language, packing, quality, toxicity
 from marketlens.llm.neardup import near_duplicates
+from marketlens.llm.substrings import remove_repeats
 from marketlens.llm.words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = language.identify(documents, language_model(documents))
@@ -64,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_bpe, op3_packing, op4_quality, op8_languages, op9_near_duplicates, op10_toxicity)}
+        op1_bpe, op3_packing, op4_quality, op7_repeated_passages, op8_languages, op9_near_duplicates, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
