@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import bpe, language, packing, quality, toxicity
+from marketlens.llm.ann import nearest
+from marketlens.llm.imatch import fingerprints
 from marketlens.llm.neardup import near_duplicates
 from marketlens.llm.substrings import remove_repeats
+from marketlens.llm.warc import archive_pages
 from marketlens.llm.words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +34,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents")).withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -70,7 +86,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_bpe, op3_packing, op4_quality, op7_repeated_passages, op8_languages, op9_near_duplicates, op10_toxicity)}
+        op1_bpe, op2_nearest, op3_packing, op4_quality, op5_fingerprints, op6_warc, op7_repeated_passages, op8_languages, op9_near_duplicates, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

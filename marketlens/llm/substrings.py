@@ -16,7 +16,7 @@ anchors are then compared, by a 128-bit hash of their words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -243,7 +243,8 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
 
 
 def kept_words(df: DataFrame, window: int) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) from (doc_id, copied, starts, text)."""
+    """(doc_id, n_words, n_removed, kept, further columns) from (doc_id, copied, starts, text, further columns)."""
+    carried = df.schema.fields[4:]
 
     def build(batch: pa.RecordBatch) -> dict:
         count, gone, kept = [], [], []
@@ -267,20 +268,24 @@ def kept_words(df: DataFrame, window: int) -> DataFrame:
                 count.append(n)
                 gone.append(n - len(stay))
                 kept.append(b" ".join([raw[s:e] for s, e in spans]).decode())
-        return {"doc_id": batch.column(0), "n_words": count, "n_removed": gone, "kept": kept}
+        return {"doc_id": batch.column(0), "n_words": count, "n_removed": gone, "kept": kept,
+                **{f.name: batch.column(4 + i) for i, f in enumerate(carried)}}
 
-    return map_batches(df, build, "doc_id long, n_words long, n_removed long, kept string")
+    more = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in carried)
+    return map_batches(df, build, "doc_id long, n_words long, n_removed long, kept string" + more)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, kept (words left, joined by one space).
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: doc_id, n_words, n_removed, kept (words left, joined by one space), ``carry``.
 
     Words are runs other than white space, unchanged. A word goes if a window of
     ``window`` words that covers it also starts in a document with a smaller id;
     windows are judged on the input. Repeated rows share an id and its text and
     keep the same words: a document is not compared with itself. An id names one
     text. A null text has no words. A row without id is neither changed nor
-    compared. Texts of fewer words than a window stay whole. Other columns are not read.
+    compared. Texts of fewer words than a window stay whole. Columns named in
+    ``carry`` are handed on, others are not read.
     """
     configure(df.sparkSession)
     texts = keyed_texts(df, id_col, text_col).withColumn("class_a", F.xxhash64("text")).withColumn(
@@ -298,5 +303,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = rows.join(first, ["class_a", "class_b"]).filter(F.col("doc_id") > F.col("first")).select(
         "doc_id", F.lit(True).alias("copied")).distinct()
     marks = materialize(starts.join(copies, "doc_id", "full_outer"), "marks")
-    joined = texts.select("doc_id", "text").join(marks, "doc_id", "left").select("doc_id", "copied", "starts", "text")
+    whole = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                      F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`") for c in carry])
+    joined = whole.join(marks, "doc_id", "left").select("doc_id", "copied", "starts", "text", *[f"`{c}`" for c in carry])
     return kept_words(joined, window)
