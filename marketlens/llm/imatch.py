@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.words import configure
 from marketlens.session import materialize
 
-MIN_SHARE, MAX_SHARE = 1 / 256, 1 / 4   # of texts that hold a lexicon term
+MIN_SHARE, MAX_SHARE = 1 / 128, 1 / 4   # of texts that hold a lexicon term
 # One in so many lexicon terms belongs to each subset.
 SUBSETS = (1, 2, 2, 4, 4, 4, 8, 8, 8, 16, 16, 16, 32, 32, 32, 64, 64, 64, 128, 128, 128, 256, 256, 256, 512, 512)
 MOST = 4
@@ -31,8 +31,8 @@ SPLITS = 64                             # runs of ids per 64 shuffle partitions,
 
 def terms(text: Column) -> Column:
     """Hashes of the distinct terms: runs of letters and digits, lower-cased."""
-    found = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    return F.array_distinct(F.transform(found, lambda t: F.xxhash64(t)))
+    found = F.transform(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: F.xxhash64(t))
+    return F.array_distinct(F.array_remove(found, F.xxhash64(F.lit(""))))
 
 
 def lexicon(texts: DataFrame, low: float = MIN_SHARE, high: float = MAX_SHARE) -> DataFrame:
