@@ -19,7 +19,7 @@ from marketlens.llm.words import Words, blocks, configure, keyed_texts, map_batc
 
 MAX_LABELLED_ROWS = 20_000  # rows that fit the trees, at most
 BINS, DEPTH, TREES, RATE = 32, 4, 60, 0.2
-RIDGE, MIN_WEIGHT = 1.0, 5.0
+RIDGE, MIN_WEIGHT = 1.0, 1.0
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digit": b"0123456789",

@@ -84,7 +84,7 @@ class Archive:
         filesystem, path = fs.FileSystem.from_uri(folder)
         self.name = f"pages-{uuid.uuid4().hex}.warc.zst"
         words = train(samples)
-        self.file = filesystem.open_output_stream(f"{path}/{self.name}")
+        self.file = filesystem.open_output_stream(f"{path}/{self.name}", compression=None)
         self.file.write(struct.pack("<II", SKIPPABLE, len(words)) + words)
         shared = zstandard.ZstdCompressionDict(words)
         shared.precompute_compress(level=LEVEL)
@@ -141,7 +141,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
 
 def records_of(filesystem: fs.FileSystem, path: str) -> Iterator[bytes]:
     """The records of one archive, one at a time."""
-    with filesystem.open_input_stream(path) as file:
+    with filesystem.open_input_stream(path, compression=None) as file:
         magic, size = struct.unpack("<II", file.read(8))
         if magic != SKIPPABLE:
             raise ValueError("an archive without its dictionary frame")
