@@ -25,20 +25,9 @@ MESSAGES = (
 )
 
 
-LARGE_TABLES = ("orders", "lineitem", "documents")
-
-
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table.
-
-    A large table that comes in fewer splits than there are cores, such as a
-    single small file, is spread out first; more splits are left as they are.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in LARGE_TABLES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """One test table, in the splits that its files come in."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,13 +17,15 @@ from marketlens.operators import (
     activity, cleaning, clustering, fairness, features, reviews, sales, scoring, segments,
     sellers, topics, views, ward, warehouse,
 )
+from marketlens.plans import aggregates as aggregate_plan
 from marketlens.plans import staging as staging_plan
 from marketlens.plans import topics as topic_plan
+from marketlens.plans import warehouse as warehouse_plan
 from marketlens.rules import (
     BAD_TOPIC_NAMES, BAD_TOPICS, GOOD_TOPICS, MODEL_FEATURES, NEUTRAL_TOPICS, SEGMENT_FEATURES,
     SELLER_FEATURES,
 )
-from marketlens.session import shared_dir
+from marketlens.session import materialize, shared_dir
 from marketlens.sources import reports, tables
 from marketlens.sources.schemas import NOT_NULL, PRIMARY_KEYS, RAW_SCHEMAS
 
@@ -78,6 +80,33 @@ def read_raw_orders(w):
                          for f in RAW_SCHEMAS["orders"].fields])
 
 
+def _read_raw(raw_name: str) -> Query:
+    def build(w):
+        path = fresh_path(w, f"{raw_name}-csv")
+        tables.export_csv(w.raw(raw_name), path)
+        out = tables.read_raw(w.spark, path, raw_name).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[raw_name].fields])
+        return rounded(out, 6, "geolocation_lat", "geolocation_lng") if raw_name == "geolocation" else out
+    return build
+
+
+for _raw in ("customers", "sellers", "products", "order_items", "payments", "geolocation",
+             "product_category_name_translation"):
+    QUERIES[f"read_raw_{_raw}"] = _read_raw(_raw)
+
+
+@query
+def load_row_counts(w):
+    """Rows of every table that the three load runs store, from the raw tables on."""
+    lake = fresh_lake(w)
+    for name in RAW_SCHEMAS:
+        lake.write(w.raw(name), "raw_data", name)
+    counts = staging_plan.run_cleaning(lake) | warehouse_plan.run_transformation(lake) | aggregate_plan.run_aggregation(lake)
+    layers = dict.fromkeys(counts, "warehouse") | dict.fromkeys(
+        [*staging_plan.COPIES.values(), *[n for n in counts if n.endswith("_cleaned")]], "staging")
+    return reports.row_count_report({name: lake.read(layers[name], name) for name in counts})
+
+
 @query
 def write_and_read_table(w):
     lake = fresh_lake(w)
@@ -102,7 +131,7 @@ for _raw in staging_plan.COPIES:
 
 @query
 def constraint_report(w):
-    names = ("customers", "orders", "order_items", "products", "payments", "geolocation",
+    names = ("customers", "sellers", "orders", "order_items", "products", "payments", "geolocation",
              "product_category_name_translation")
     return reduce(DataFrame.unionByName, [
         reports.check_constraints(w.raw(n), n, PRIMARY_KEYS[n], NOT_NULL.get(n, ())) for n in names
@@ -125,14 +154,10 @@ def exported_warehouse(w):
 def loaded_fact_orders(w):
     path = fresh_path(w, "fact-orders-csv")
     tables.export_csv(w.fact_orders, path)
-    back = tables.load_csv(w.spark, path)
+    back = tables.load_csv(w.spark, path, w.fact_orders.schema)
     return back.select(
-        F.col("order_id").cast("string").alias("order_id"),
-        F.col("customer_id").cast("string").alias("customer_id"), "order_status",
-        F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("order_purchase_timestamp"),
-        F.col("order_delivered_customer_date").cast("timestamp_ntz")
-        .alias("order_delivered_customer_date"),
-        "total_price", "total_freight", "item_count", "avg_review_score",
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp",
+        "order_delivered_customer_date", "total_price", "total_freight", "item_count", "avg_review_score",
     ).transform(rounded, 6, "avg_review_score")
 
 
@@ -376,7 +401,9 @@ def topic_ranking_given(w):
 
 
 def _found(w, subset, prepared, rules):
-    return topic_plan.find_topics(subset(w.reviews), prepared, rules)
+    if subset.__name__ not in w.topic_results:
+        w.topic_results[subset.__name__] = topic_plan.find_topics(subset(w.reviews), prepared, rules)
+    return w.topic_results[subset.__name__]
 
 
 def _complaints(w, subset, rules):
@@ -664,7 +691,7 @@ def ward_labels_k7(w):
 @query
 def ward_labels_k12(w):
     found = w.segmented
-    relabelled = ward.label_sellers(found.sellers.drop("seller_cluster"), ward.ward_labels(found.merges, 12))
+    relabelled = ward.label_sellers(found.sellers.drop("seller_cluster"), ward.ward_labels(found.leaves, found.merges, 12))
     return relabelled.select("seller_id", "seller_cluster")
 
 
@@ -673,6 +700,38 @@ def ward_personas(w):
     return segments.persona_label(segments.cluster_profile(w.segmented.sellers))
 
 
+@query
+def ward_personas_k12(w):
+    found = w.segmented
+    twelve = ward.label_sellers(found.sellers.drop("seller_cluster"), ward.ward_labels(found.leaves, found.merges, 12))
+    return segments.persona_label(segments.cluster_profile(twelve))
+
+
+@query
+def ward_totals(w):
+    """What SQL can say of a hierarchy: sellers labelled and clusters of both cuts, rows of its top."""
+    found = w.segmented
+    twelve = ward.label_sellers(found.sellers.drop("seller_cluster"), ward.ward_labels(found.leaves, found.merges, 12))
+    count = lambda df: df.agg(F.count("*").alias("n"), F.countDistinct("seller_cluster").alias("k"))
+    seven, top = count(found.sellers), found.merges.agg(F.max("size").alias("top"))
+    return seven.select(
+        F.col("n").alias("sellers_k7"), F.col("k").alias("clusters_k7"),
+        count(twelve).select("n").scalar().alias("sellers_k12"), count(twelve).select("k").scalar().alias("clusters_k12"),
+        top.scalar().alias("top_size"))
+
+
+@query
+def topic_totals(w):
+    """Documents labelled and topics named for each review subset."""
+    found = {"bad": _complaints(w, reviews.bad_reviews, BAD_TOPICS),
+             "neutral": _complaints(w, reviews.neutral_reviews, NEUTRAL_TOPICS), "good": _praise(w)}
+    return reduce(DataFrame.unionByName, [
+        result.documents.agg(
+            F.lit(name).alias("subset"), F.count("*").alias("documents"),
+            F.count_if(F.col("dominant_topic").between(1, rules.topics)).alias("in_range"))
+        for (name, result), rules in zip(found.items(), (BAD_TOPICS, NEUTRAL_TOPICS, GOOD_TOPICS))])
+
+
 @query
 def cluster_profile(w):
     return rounded(segments.cluster_profile(w.by_order_value), 4, *SEGMENT_FEATURES)
@@ -713,7 +772,10 @@ def risk_alert(w):
 
 @query
 def vip_program(w):
-    vip = views.vip_program(w.matrix, segments.persona_label(w.profile))
+    # Segments by the number of regions reached, so that some are national.
+    by_reach = materialize(w.segment_input.withColumn("seller_cluster", F.col("market_reach").cast("int")), "reach-segments")
+    matrix = materialize(segments.seller_matrix(w.tiered, by_reach), "reach-matrix")
+    vip = views.vip_program(matrix, segments.persona_label(segments.cluster_profile(by_reach)))
     return rounded(vip.select("seller_id", "gmv", "seller_cluster", "persona"), 4, "gmv")
 
 

@@ -24,6 +24,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self.topic_results: dict[str, object] = {}  # one fitted model per review subset
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:

@@ -1,9 +1,10 @@
 """Exact quantiles, ranks and histograms that never sort one group in one task.
 
-Rows are first combined to (group, value, count). A coarse bucket of the value,
-monotone and computed from the value alone, splits every group into many parts;
-the part totals say how many rows lie before each part, so an exact position is
-found inside the one part that holds it.
+Rows are first combined to (group, value, count). Split points taken from the
+distinct values of each group cut it into parts of about equally many distinct
+values, wherever the values lie; the part totals say how many rows lie before
+each part, so an exact position is found inside the one part that holds it. The
+split points are approximate quantiles, the results are exact.
 """
 
 from __future__ import annotations
@@ -16,34 +17,38 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
-def coarse_bucket(value: Column, resolution: int) -> Column:
-    """Monotone bucket number on a log scale.
+# A part holds about 1 / 256 of the distinct values of its group. A multiple of 16.
+PARTS = 256
 
-    ``resolution`` buckets per e-fold. log1p of the largest double is below 710,
-    so there are at most ``2 * 710 * resolution`` buckets whatever the data.
-    """
-    size = F.floor(F.log1p(F.abs(value)) * resolution)
-    # Declared never null: a join on it then adds no filter of its own, and both
-    # readers of the value counts share one shuffle.
-    return F.coalesce(F.when(value < 0, -size).otherwise(size).cast("long"), F.lit(0))
+
+def part_of(value: Column, edges: Column) -> Column:
+    """How many of the sorted ``edges`` are below ``value``, in two steps of sixteenths."""
+    every_16th = F.filter(edges, lambda _, i: i % 16 == 15)
+    ahead = 16 * F.size(F.filter(every_16th, lambda e: e < value))
+    within = F.size(F.filter(F.slice(edges, ahead + 1, F.lit(16)), lambda e: e < value))
+    return F.coalesce((ahead + within).cast("long"), F.lit(0))
 
 
 def _running(*by: str, order: str) -> WindowSpec:
     return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def _value_counts(df: DataFrame, value: Column, by: Sequence[str], resolution: int) -> DataFrame:
+def _value_counts(df: DataFrame, value: Column, by: Sequence[str], parts: int) -> DataFrame:
+    """(by..., _bucket, _value, _n); each distinct value of a group is one row."""
     present = df.select(*by, value.cast("double").alias("_value")).dropna()
-    return present.groupBy(
-        *by, coarse_bucket(F.col("_value"), resolution).alias("_bucket"), "_value"
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    counts = present.groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    cuts = F.percentile_approx("_value", [i / parts for i in range(1, parts)], 10_000).alias("_edges")
+    if by:
+        counts = counts.join(counts.groupBy(*by).agg(cuts), list(by))
+    else:
+        counts = counts.withColumn("_edges", counts.agg(cuts).scalar())
+    return counts.withColumn("_bucket", part_of(F.col("_value"), F.col("_edges"))).drop("_edges")
 
 
 def _bucket_spans(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per bucket: rows held, rows in earlier buckets, rows of the group.
 
-    Without ``by`` the window runs over the bucket totals alone, whose number is
-    bounded by ``coarse_bucket``.
+    Without ``by`` the window runs over the part totals alone, at most PARTS rows.
     """
     totals = counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_held"))
     ordered = _running(*by, order="_bucket")
@@ -56,7 +61,7 @@ def _bucket_spans(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def quantiles(
     df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (),
-    resolution: int = 256,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, nulls skipped.
 
@@ -64,7 +69,7 @@ def quantiles(
     group are left out, as are groups without any value.
     """
     by = list(by)
-    counts = _value_counts(df, F.col(column), by, resolution)
+    counts = _value_counts(df, F.col(column), by, parts)
     spans = _bucket_spans(counts, by)
 
     def position(p: float) -> Column:
@@ -105,14 +110,14 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     return quantiles(tall, "value", probs, by=["column_name"])
 
 
-def rank_descending(df: DataFrame, column: str, name: str = "rank", resolution: int = 256) -> DataFrame:
+def rank_descending(df: DataFrame, column: str, name: str = "rank", parts: int = PARTS) -> DataFrame:
     """``rank()`` over the whole table by falling value, without one big sort.
 
     Ranks are worked out per distinct value, so a value shared by very many rows
     is one row here. ``df`` is read twice: pass a stored table. Null values get
     a null rank.
     """
-    counts = _value_counts(df, -F.col(column), (), resolution)
+    counts = _value_counts(df, -F.col(column), (), parts)
     spans = _bucket_spans(counts, ()).select("_bucket", "_before")
     within = _running("_bucket", order="_value")
     ranks = counts.join(spans, "_bucket").select(

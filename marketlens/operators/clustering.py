@@ -110,10 +110,14 @@ def kmeans_sweep(
         index = davies_bouldin(labelled, columns).first()["davies_bouldin"]
         return k, best.summary.trainingCost, squared_silhouette(labelled), index
 
-    with ThreadPool(parallelism) as pool:
-        jobs = [(k, run) for k in ks for run in range(restarts)]
-        fits = pool.map(inheritable_thread_target(spark)(fit), jobs)
-        rows = pool.map(inheritable_thread_target(spark)(judge), ks)
+    vectors = vectors.persist()  # one copy for all fits; lost parts are read from the stored table again
+    try:
+        with ThreadPool(parallelism) as pool:
+            jobs = [(k, run) for k in ks for run in range(restarts)]
+            fits = pool.map(inheritable_thread_target(spark)(fit), jobs)
+            rows = pool.map(inheritable_thread_target(spark)(judge), ks)
+    finally:
+        vectors.unpersist()
     return spark.createDataFrame(
         rows, "k int, wcss double, silhouette_squared double, davies_bouldin double"
     )
@@ -121,16 +125,21 @@ def kmeans_sweep(
 
 def feature_importance(
     labelled: DataFrame, columns: Sequence[str] = MODEL_FEATURES, cluster: str = "cluster",
-    trees: int = 100, seed: int = 42,
+    trees: int = 100, seed: int = 42, max_rows: int = 200_000, depth: int = 20,
 ) -> DataFrame:
-    """Weight of each feature in telling the clusters apart: (feature, importance)."""
+    """Weight of each feature in telling the clusters apart: (feature, importance).
+
+    Trees are at most ``depth`` deep and fitted on at most ``max_rows`` rows, those
+    of the smallest hash of their values.
+    """
+    columns = list(columns)
+    labelled = labelled.orderBy(F.xxhash64(*columns, cluster), *columns, cluster).limit(max_rows)
     assembled = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
         labelled.select(*columns, F.col(cluster).cast("double").alias("_label"))
     )
-    # Trees are as deep as Spark allows; remembering each row's node saves walking
-    # them from the root at every level.
+    # Remembering each row's node saves walking trees from the root at every level.
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
+        numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
         featuresCol="_features", labelCol="_label",
     ).fit(assembled)
     return labelled.sparkSession.createDataFrame(

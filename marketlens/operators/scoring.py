@@ -27,6 +27,11 @@ def seller_score(features: DataFrame, weights: Mapping[str, float] = SCORE_WEIGH
     return scaled.withColumn("final_score", total * 100.0).drop(*[f"m_{c}" for c in weights])
 
 
+def weights_of(importances: DataFrame) -> dict[str, float]:
+    """Score weights from (feature, importance): one number per feature comes to the driver."""
+    return {r.feature: r.importance for r in importances.select("feature", "importance").collect()}
+
+
 def with_quarter(df: DataFrame, column: str, into: str, digits: int = 6) -> DataFrame:
     """Add the quartile 0..3 of a column; intervals are closed above, the lowest also below.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketlens import rules
 from marketlens.functions.order_stats import quantiles
 from marketlens.functions.scaling import with_statistics
-from marketlens.rules import SEGMENT_FEATURES, TIERS
+from marketlens.rules import SEGMENT_FEATURES
 
 
 def segmentation_input(scored: DataFrame, segmentation: DataFrame) -> DataFrame:
@@ -61,12 +61,14 @@ def seller_matrix(tiered: DataFrame, labelled: DataFrame) -> DataFrame:
 def tier_cluster_crosstab(matrix: DataFrame, clusters: Sequence[int]) -> DataFrame:
     """Sellers per tier and cluster, one column ``c<cluster>`` each; absent pairs are 0.
 
-    Naming the clusters saves the extra job that would look them up.
+    Naming the clusters saves the extra job that would look them up. Sellers of
+    clusters that are not named are counted in ``other``.
     """
     cells = [
         F.count_if(F.col("seller_cluster") == c).alias(f"c{c}") for c in clusters
     ]
-    return matrix.groupBy("segment").agg(*cells)
+    other = F.count_if(~F.coalesce(F.col("seller_cluster").isin(*clusters), F.lit(False))).alias("other")
+    return matrix.groupBy("segment").agg(*cells, other)
 
 
 def score_spread(matrix: DataFrame, column: str = "final_score") -> DataFrame:
@@ -94,8 +96,3 @@ def score_spread(matrix: DataFrame, column: str = "final_score") -> DataFrame:
         )
         .withColumn("overall_mean", overall)
     )
-
-
-def tier_order(column: str = "segment") -> Column:
-    """Rank of a tier name, for sorting."""
-    return F.array_position(F.array(*[F.lit(t) for t in TIERS]), F.col(column))

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from marketlens.functions.text import model_tokens, tokens, without
 from marketlens.rules import SHOPPING_STOP_WORDS
 
-MAX_VOCABULARY = 1_000_000
-
 
 def portuguese_stop_words(extra: Sequence[str] = ()) -> list[str]:
     """Spark's Portuguese stop words plus ``extra`` (needs a running session)."""
@@ -74,41 +72,39 @@ def vectorize(
 ) -> tuple[DataFrame, CountVectorizerModel]:
     """Bag-of-words vectors over ``terms``.
 
-    The vocabulary is the model itself, so it lives on the driver like every
-    Spark vocabulary. One too large for a topic matrix is refused, not cut.
+    The vocabulary is part of the model object, as in every Spark vocabulary
+    model; ``max_features`` of ``vocabulary`` is what bounds it.
     """
-    ordered = terms.select("term", "term_frequency").limit(MAX_VOCABULARY + 1)
-    words = [r.term for r in ordered.orderBy(F.desc("term_frequency"), "term").collect()]
+    ordered = terms.select("term", "term_frequency").orderBy(F.desc("term_frequency"), "term")
+    words = [r.term for r in ordered.collect()]
     if not words:
         raise ValueError("no terms remain, lower min_df or raise max_df")
-    if len(words) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} terms, raise min_df or set max_features")
     model = CountVectorizerModel.from_vocabulary(words, inputCol="_words", outputCol=into)
     prepared = df.withColumn("_words", without(model_tokens(F.col(text)), stop_words))
     return model.transform(prepared).drop("_words"), model
 
 
-def fit_topics(vectors: DataFrame, topics: int, seed: int = 42, iterations: int = 10) -> LDAModel:
-    """Topic model with symmetric 1/k priors, every iteration over all documents."""
+def fit_topics(vectors: DataFrame, topics: int, seed: int = 42, iterations: int = 20) -> LDAModel:
+    """Topic model by expectation maximisation: every iteration covers all documents.
+
+    Priors are symmetric: 50 / topics + 1 for documents, 1.1 for words, the
+    method's usual ones. Documents without words take no part in the fit.
+    """
     return LDA(
-        k=topics, seed=seed, maxIter=iterations, optimizer="online", subsamplingRate=1.0,
-        optimizeDocConcentration=False, featuresCol="features",
-        topicDistributionCol="topic_weights",
+        k=topics, seed=seed, maxIter=iterations, optimizer="em", docConcentration=[50.0 / topics + 1],
+        topicConcentration=1.1, featuresCol="features", topicDistributionCol="topic_weights",
     ).fit(vectors)
 
 
 def topic_top_words(model: LDAModel, words: CountVectorizerModel, count: int = 10) -> DataFrame:
     """Heaviest words per topic: (topic, position, term, weight), topics from 1."""
-    spark = SparkSession.getActiveSession()
-    lookup = spark.createDataFrame(list(enumerate(words.vocabulary)), "term_id int, term string")
     heavy = model.describeTopics(count).select(
         (F.col("topic") + 1).alias("topic"),
         F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "entry"),
-    )
-    return heavy.join(lookup, F.col("entry.termIndices") == lookup.term_id).select(
-        "topic", (F.col("place") + 1).alias("position"), "term",
-        F.col("entry.termWeights").alias("weight"),
-    )
+    ).collect()  # ``count`` rows per topic
+    rows = [(r.topic, r.place + 1, words.vocabulary[r.entry.termIndices], r.entry.termWeights) for r in heavy]
+    return SparkSession.getActiveSession().createDataFrame(
+        rows, "topic int, position int, term string, weight double")
 
 
 def dominant_topic(weighted: DataFrame, weights: str = "topic_weights") -> DataFrame:

@@ -1,10 +1,10 @@
 """Hierarchical clustering by Ward's criterion.
 
-Spark reduces the sellers to weighted leaves: distinct feature vectors while
-those are few, else the centres of a distributed k-means. Only the leaves, whose
-number is checked, are merged in one task. Up to ``max_leaves`` distinct vectors
-the hierarchy is exact; above that it is an approximation on micro-clusters.
-Every seller gets a label either way.
+Spark reduces the sellers to ``micro_clusters`` weighted centres by a distributed
+k-means, and only those centres, whose number is a parameter, are merged. The
+path is the same for any number of sellers; fewer distinct sellers than centres
+are centres of their own, so a small hierarchy is that of the sellers themselves.
+Every seller gets a label.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.columns import to_number
@@ -23,7 +23,6 @@ from marketlens.functions.scaling import standardize
 from marketlens.operators.features import log_segment_features
 from marketlens.rules import SEGMENT_FEATURES, SEGMENT_LOG_FEATURES
 
-MAX_LEAVES = 10_000
 MICRO_CLUSTERS = 1_000
 CUT_HEIGHT = 20.0
 Z_COLUMNS = tuple(
@@ -38,20 +37,14 @@ def ward_input(segmentation: DataFrame) -> DataFrame:
 
 
 def ward_leaves(
-    prepared: DataFrame, columns: Sequence[str] = Z_COLUMNS, max_leaves: int = MAX_LEAVES,
-    micro_clusters: int = MICRO_CLUSTERS, seed: int = 42,
+    prepared: DataFrame, columns: Sequence[str] = Z_COLUMNS, micro_clusters: int = MICRO_CLUSTERS,
+    seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
     """Sellers with their leaf, and the leaves (leaf, weight, columns...).
 
     ``prepared`` is read several times: pass a stored table.
     """
     columns = list(columns)
-    distinct = prepared.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
-    if distinct.limit(max_leaves + 1).count() <= max_leaves:
-        # At most max_leaves rows: numbered in one window and broadcast.
-        leaves = distinct.withColumn("leaf", F.row_number().over(Window.orderBy(*columns)) - 1)
-        lookup = F.broadcast(leaves.select("leaf", *columns))
-        return prepared.join(lookup, columns), leaves.select("leaf", "weight", *columns)
     assembled = prepared.withColumn("_point", array_to_vector(F.array(*columns)))
     model = KMeans(k=micro_clusters, seed=seed, featuresCol="_point", predictionCol="leaf").fit(assembled)
     labelled = model.transform(assembled).drop("_point")
@@ -125,7 +118,7 @@ def ward_merges(leaves: DataFrame, cut_height: float = CUT_HEIGHT) -> DataFrame:
     """Merge history: (step, left, right, merged, height, size, above_cut), lowest first.
 
     Children that no step merged are leaves. ``leaves`` must come from
-    ``ward_leaves``, which bounds their number.
+    ``ward_leaves``: one row per micro-cluster at most.
     """
     history = leaves.groupBy(F.lit(0).alias("all")).applyInPandas(
         lambda pdf: _merge_table(pdf.drop(columns=["all"], errors="ignore")),
@@ -134,33 +127,29 @@ def ward_merges(leaves: DataFrame, cut_height: float = CUT_HEIGHT) -> DataFrame:
     return history.withColumn("above_cut", F.col("height") > cut_height)
 
 
-def _cut(history: pd.DataFrame, k: int) -> pd.DataFrame:
-    history = history.sort_values("step")
-    inner = set(history["merged"])
-    members = {
-        int(child): [int(child)]
-        for child in [*history["left"], *history["right"]] if child not in inner
-    }
-    for row in history.head(max(len(members) - k, 0)).itertuples():
+def _cut(leaves: pd.DataFrame, history: pd.DataFrame, k: int) -> pd.DataFrame:
+    members = {int(leaf): [int(leaf)] for leaf in leaves["leaf"]}
+    for row in history.sort_values("step").head(max(len(members) - k, 0)).itertuples():
         members[row.merged] = members.pop(row.left) + members.pop(row.right)
     groups = sorted(members.values(), key=min)
     rows = [(leaf, i) for i, group in enumerate(groups) for leaf in group]
     return pd.DataFrame(rows, columns=["leaf", "seller_cluster"])
 
 
-def ward_labels(merges: DataFrame, k: int = 7) -> DataFrame:
+def ward_labels(leaves: DataFrame, merges: DataFrame, k: int = 7) -> DataFrame:
     """Cluster of every leaf when the hierarchy is cut into ``k``: (leaf, seller_cluster).
 
-    Clusters are numbered by their smallest leaf.
+    Clusters are numbered by their smallest leaf. ``leaves`` and ``merges`` are of
+    ``ward_leaves`` and ``ward_merges``, at most one row per micro-cluster each.
     """
-    return merges.select("step", "left", "right", "merged").groupBy(F.lit(0).alias("all")).applyInPandas(
-        lambda pdf: _cut(pdf, k), "leaf int, seller_cluster int"
+    every = F.lit(0).alias("all")
+    steps = merges.select("step", "left", "right", "merged").groupBy(every)
+    return leaves.select("leaf").groupBy(every).cogroup(steps).applyInPandas(
+        lambda own, history: _cut(own, history, k), "leaf int, seller_cluster int"
     )
 
 
 def label_sellers(sellers: DataFrame, labels: DataFrame) -> DataFrame:
-    """Sellers with the cluster of their leaf."""
-    # One row per leaf, at most max_leaves.
-    return sellers.join(F.broadcast(labels), "leaf", "left").withColumn(
-        "seller_cluster", F.coalesce("seller_cluster", F.lit(0))
-    )
+    """Sellers with the cluster of their leaf; every leaf has one."""
+    # One row per leaf, at most one per micro-cluster.
+    return sellers.join(F.broadcast(labels), "leaf")

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from marketlens.operators import activity, fairness, features, scoring, segments, ward
+from marketlens.operators import activity, fairness, features, scoring, segments, views, ward
 from marketlens.rules import ActivityRules
 from marketlens.session import materialize
 from marketlens.sources.tables import Lake, export_scorecard
@@ -39,19 +39,19 @@ class Segments:
 
 
 def segmented_sellers(tiered: DataFrame, segmentation: DataFrame, k: int = 7,
-                      max_leaves: int = ward.MAX_LEAVES) -> Segments:
+                      micro_clusters: int = ward.MICRO_CLUSTERS) -> Segments:
     """Hierarchical segments of scored sellers."""
     described = segments.segmentation_input(tiered, segmentation)
     prepared = materialize(ward.ward_input(materialize(described, "segment-input")), "ward-input")
-    labelled, leaves = ward.ward_leaves(prepared, max_leaves=max_leaves)
+    labelled, leaves = ward.ward_leaves(prepared, micro_clusters=micro_clusters)
     labelled = materialize(labelled, "ward-sellers")
     leaves = materialize(leaves, "ward-leaves")
     merges = materialize(ward.ward_merges(leaves), "ward-merges")
-    return Segments(ward.label_sellers(labelled, ward.ward_labels(merges, k)), merges, leaves)
+    return Segments(ward.label_sellers(labelled, ward.ward_labels(leaves, merges, k)), merges, leaves)
 
 
 def run_scoring(lake: Lake, export_folder: str, k: int = 7, day: date | None = None) -> dict[str, int]:
-    """Score and segment sellers, store the matrix and its personas, export the scorecard."""
+    """Score and segment sellers, store the matrix, its personas and the governance views, export the scorecard."""
     tiered = scored_sellers(lake.read("warehouse", "seller_evaluation"))
     result = segmented_sellers(tiered, lake.read("warehouse", "seller_segmentation"), k)
     sellers = materialize(result.sellers, "seller-segments")
@@ -61,6 +61,11 @@ def run_scoring(lake: Lake, export_folder: str, k: int = 7, day: date | None = N
         "seller_matrix": lake.write(matrix, "warehouse", "seller_matrix"),
         "seller_personas": lake.write(personas, "warehouse", "seller_personas"),
     }
+    stored = lake.read("warehouse", "seller_matrix")
+    counts["view_risk_alert"] = lake.write(views.risk_alert(tiered), "warehouse", "view_risk_alert")
+    counts["view_vip_program"] = lake.write(
+        views.vip_program(stored, lake.read("warehouse", "seller_personas")), "warehouse", "view_vip_program")
+    counts["view_training_focus"] = lake.write(views.training_focus(tiered), "warehouse", "view_training_focus")
     counts["seller_scorecard"] = export_scorecard(
         lake, lake.read("warehouse", "seller_matrix"), export_folder, day)
     return counts

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_ascii, normalize_unicode, remove_stopwords
 from marketlens.operators import reviews, topics
-from marketlens.rules import TopicRules
+from marketlens.rules import BAD_TOPICS, GOOD_TOPICS, NEUTRAL_TOPICS, TopicRules
 from marketlens.session import materialize
+from marketlens.sources.tables import Lake
 
 
 @dataclass(frozen=True)
@@ -48,3 +49,23 @@ def find_topics(comments: DataFrame, text: Column, rules: TopicRules, seed: int
         topics.topic_top_words(model, words),
         topics.topic_distribution(documents, rules.names),
     )
+
+
+def run_topics(lake: Lake, seed: int = 42) -> dict[str, int]:
+    """Fit one model per stored review subset; store documents, top words and shares of each."""
+    staged = lake.read("staging", "reviews_cleaned")
+    stop_words = topics.portuguese_stop_words()
+    praise = replace(GOOD_TOPICS, stop_words=tuple(topics.shopping_stop_words()))
+    jobs = {
+        "bad": (lake.read("warehouse", "nlp_bad_review"), complaint_text(stop_words), BAD_TOPICS),
+        "neutral": (reviews.neutral_reviews(staged), complaint_text(stop_words), NEUTRAL_TOPICS),
+        "good": (lake.read("warehouse", "nlp_good_review"), praise_text(), praise),
+    }
+    counts = {}
+    for subset, (comments, text, rules) in jobs.items():
+        found = find_topics(comments, text, rules, seed)
+        parts = {"documents": found.documents.drop("topic_weights"), "words": found.top_words,
+                 "shares": topics.topic_ranking(found.distribution)}
+        for part, df in parts.items():
+            counts[f"topics_{subset}_{part}"] = lake.write(df, "warehouse", f"topics_{subset}_{part}")
+    return counts

@@ -62,15 +62,9 @@ SEGMENT_LOG_FEATURES = SEGMENT_FEATURES[:5]
 
 @dataclass(frozen=True)
 class OrderRules:
-    """Bounds on orders. Only the status list is applied by default."""
+    """Which orders count."""
 
     statuses: tuple[str, ...] = VALID_STATUSES
-    min_price: float = 0.0
-    max_price: float = 100_000.0
-    min_freight: float = 0.0
-    max_freight: float = 10_000.0
-    min_delivery_days: int = 0
-    max_delivery_days: int = 365
 
 
 @dataclass(frozen=True)

@@ -51,7 +51,10 @@ class Lake:
         """Replace a table and return its row count.
 
         Rows are counted while they are written, beside the old table. An empty
-        result is reported and discarded, so the old table stays.
+        result is reported and discarded, so the old table stays. The old table is
+        moved aside before the new one takes its place and deleted last, so that
+        at every moment one of the two is complete; if the second move fails, the
+        old table is moved back.
         """
         target = self.path(layer, name)
         fresh = f"{self.root}/_incoming/{layer}-{name}-{uuid.uuid4().hex}"
@@ -67,9 +70,16 @@ class Lake:
             fs.delete(fresh_path, True)
             return 0
         fs.mkdirs(target_path.getParent())
-        fs.delete(target_path, True)
+        aside = hadoop.Path(f"{self.root}/_incoming/{layer}-{name}-old-{uuid.uuid4().hex}")
+        held = fs.exists(target_path)
+        if held and not fs.rename(target_path, aside):
+            raise OSError(f"could not move {target} aside")
         if not fs.rename(fresh_path, target_path):
+            if held:
+                fs.rename(aside, target_path)
             raise OSError(f"could not move {fresh} to {target}")
+        if held:
+            fs.delete(aside, True)
         self.spark.catalog.refreshByPath(target)
         return rows
 
@@ -113,13 +123,14 @@ def load_csv(
     over the files.
     """
     reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+    reader = reader.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
 def export_scorecard(lake: Lake, matrix: DataFrame, folder: str, day: date | None = None) -> int:
-    """Write the seller matrix to a dated CSV and load it as ``seller_scorecard``."""
+    """Write the seller matrix to a dated CSV and load it, with its types, as ``seller_scorecard``."""
     day = day or date.today()
     path = f"{folder.rstrip('/')}/seller_evaluation_{day:%Y%m%d}.csv"
     export_csv(matrix, path)
-    return lake.write(load_csv(lake.spark, path), "warehouse", "seller_scorecard")
+    return lake.write(load_csv(lake.spark, path, matrix.schema), "warehouse", "seller_scorecard")

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketlens.functions.order_stats import (
-    coarse_bucket, column_quantiles, histogram, quantiles, rank_descending,
+    PARTS, _value_counts, column_quantiles, histogram, part_of, quantiles, rank_descending,
 )
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -62,11 +62,21 @@ def test_column_quantiles(spark):
     assert rows == {"a": 2.0, "b": 20.0}
 
 
-def test_bucket_is_monotone(spark):
-    values = sorted([-1e300, -5.0, -4.99, -1e-12, 0.0, 1e-12, 0.5, 0.5001, 4.0, 1e300])
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    buckets = [r.b for r in df.select("v", coarse_bucket(F.col("v"), 256).alias("b")).orderBy("v").collect()]
-    assert buckets == sorted(buckets)
+@pytest.mark.parametrize("values", [
+    "1.7e9 + id * 10.0", "id * 3e-9", "-id * id * 1.0", "if(id < 900000, id * 1e-12, id * 1e6)"])
+def test_no_part_holds_many_values_wherever_they_lie(spark, values):
+    df = spark.range(1_000_000).selectExpr(f"cast({values} as double) as v")
+    parts = _value_counts(df, F.col("v"), (), PARTS).groupBy("_bucket").count()
+    assert parts.agg(F.max("count")).first()[0] < 3 * 1_000_000 / PARTS
+    assert parts.count() <= PARTS
+
+
+def test_part_is_the_number_of_lower_edges(spark):
+    edges = sorted(np.random.default_rng(2).normal(size=255).tolist())
+    values = [*edges[::20], -9.0, 9.0, 0.0]
+    df = spark.createDataFrame([(v, edges) for v in values], "v double, e array<double>")
+    got = {r.v: r.p for r in df.select("v", part_of(F.col("v"), F.col("e")).alias("p")).collect()}
+    assert got == {v: int(np.searchsorted(edges, v)) for v in values}
 
 
 def test_rank_matches_plain_rank_with_ties(spark):

@@ -29,6 +29,10 @@ def test_query_matches_sql(spark, db, name):
     assert compare(spark, db, SF_DIR, QUERIES[name], CHECKS[name]) == []
 
 
+def test_vip_program_has_rows(spark):
+    assert QUERIES["vip_program"](spark, SF_DIR).count() > 0
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS)))
 def test_model_query_gives_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0

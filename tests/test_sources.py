@@ -114,4 +114,7 @@ def test_shared_folder_comes_from_the_session(spark):
     if before:
         assert session.shared_dir(spark).startswith(before.rstrip("/"))
     else:
-        assert spark.sparkContext.getCheckpointDir() is None or session.shared_dir(spark)
+        session.shared_dir(spark)  # sets the folder of a local session
+        folder = session.shared_dir(spark)
+        assert folder.startswith(spark.sparkContext.getCheckpointDir())
+        assert folder.endswith(spark.sparkContext.applicationId)

@@ -26,14 +26,24 @@ def naive_ward(points, weights):
 
 def segment(spark, points, k, **options):
     data = pd.DataFrame(points, columns=["x", "y"])
-    data["seller_id"] = [f"s{i:03}" for i in range(len(data))]
+    data["seller_id"] = [f"s{i:06}" for i in range(len(data))]
     prepared = materialize(spark.createDataFrame(data), "test-ward")
     sellers, leaves = ward.ward_leaves(prepared, ["x", "y"], **options)
+    leaves = materialize(leaves, "test-leaves")
     merges = materialize(ward.ward_merges(leaves, cut_height=5.0), "test-merges")
-    labelled = ward.label_sellers(sellers, ward.ward_labels(merges, k))
+    labelled = ward.label_sellers(sellers, ward.ward_labels(leaves, merges, k))
     return merges.orderBy("step").toPandas(), labelled.orderBy("seller_id").toPandas()
 
 
+def test_merging_six_points_and_all_pairs_directly():
+    points = np.array([(0, 0), (0, 1), (10, 0), (10, 2), (30, 0), (30, 4)], float)
+    heights = sorted(h for _, _, h in ward._ward_pairs(points, np.ones(6)))
+    assert heights[:3] == pytest.approx([1.0, 2.0, 4.0])
+    points, weights = np.random.default_rng(4).normal(size=(60, 3)), np.arange(1.0, 61.0)
+    heights = sorted(h for _, _, h in ward._ward_pairs(points, weights))
+    assert heights == pytest.approx(naive_ward(points, weights))
+
+
 def test_six_points_by_hand(spark):
     points = [(0, 0), (0, 1), (10, 0), (10, 2), (30, 0), (30, 4)]
     merges, labelled = segment(spark, np.array(points, float), 3)
@@ -43,7 +53,7 @@ def test_six_points_by_hand(spark):
     assert merges["size"].tolist() == [2, 2, 2, 4, 6]
     assert merges["above_cut"].tolist() == [False, False, False, True, True]
     groups = labelled.groupby("seller_cluster")["seller_id"].apply(list).tolist()
-    assert sorted(groups) == [["s000", "s001"], ["s002", "s003"], ["s004", "s005"]]
+    assert sorted(groups) == [["s000000", "s000001"], ["s000002", "s000003"], ["s000004", "s000005"]]
 
 
 def test_heights_match_trying_all_pairs(spark):
@@ -67,13 +77,15 @@ def test_all_equal_sellers_share_one_cluster(spark):
     assert merges.empty and labelled["seller_cluster"].tolist() == [0] * 5
 
 
-def test_many_sellers_are_compressed_and_all_labelled(spark):
+@pytest.mark.parametrize("each", [60, 15_000])
+def test_many_sellers_are_compressed_and_all_labelled(spark, each):
     rng = np.random.default_rng(1)
     centres = np.array([(0, 0), (50, 0), (0, 50)])
-    points = np.concatenate([c + rng.normal(size=(60, 2)) for c in centres])
-    merges, labelled = segment(spark, points, 3, max_leaves=100, micro_clusters=20)
-    assert len(labelled) == 180 and merges["size"].iloc[-1] == 180
-    assert all(labelled["seller_cluster"][i:i + 60].nunique() == 1 for i in (0, 60, 120))
+    points = np.concatenate([c + rng.normal(size=(each, 2)) for c in centres])
+    merges, labelled = segment(spark, points, 3, micro_clusters=20)
+    assert len(labelled) == 3 * each and merges["size"].iloc[-1] == 3 * each
+    assert len(merges) < 20 and merges["height"].is_monotonic_increasing
+    assert all(labelled["seller_cluster"][i:i + each].nunique() == 1 for i in (0, each, 2 * each))
 
 
 def test_undefined_feature_counts_as_average(spark):
