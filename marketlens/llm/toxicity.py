@@ -4,9 +4,9 @@ Both dictionaries share the frequent words of ordinary text and are equally
 long. One ends with further ordinary words, the other with the segments that
 mark toxic text: the stretches of words whose five-character runs occur in far
 more toxic than ordinary texts. A text is cut into windows of words; a window
-that compresses shorter with the toxic dictionary gives a gain in bytes. The
-largest gain, the mean of the three largest, the gain per window and the number
-of windows beyond a threshold are calibrated to a probability on the labels.
+that compresses shorter with the toxic dictionary gives a gain in bytes, at two
+settings of the compressor. How many windows of a text reach each threshold of
+gain, as a number and as a share, is calibrated to a probability on the labels.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ ORDINARY_BYTES = 65_536      # size of the shared part of the dictionaries
 MAX_SEGMENTS = 2_000
 RUN = 5                      # characters of a marking run
 MIN_TOXIC_TEXTS, MIN_RATIO = 4, 20.0
-STRONG_GAIN = 4              # bytes; windows beyond it are counted
+SETTINGS = ((6, 1), (5, 3))  # least match and level: shorter matches are chance more often
+GAINS = 9                    # thresholds of gain: 1, 2, ... bytes
 _WORD = re.compile(r"[^\W\d_]{3,40}")
 _SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -85,47 +86,46 @@ def train_dictionaries(texts: list[str], toxic: np.ndarray) -> tuple[bytes, byte
     return start + rest, start + toxic_end
 
 
-def compressor(content: bytes) -> zstandard.ZstdCompressor:
-    """Fast level with matches of at least six bytes: shorter ones are chance."""
+def compressor(content: bytes, least_match: int, level: int) -> zstandard.ZstdCompressor:
     parameters = zstandard.ZstdCompressionParameters.from_level(
-        1, min_match=6, window_log=18, hash_log=17, chain_log=17, write_content_size=False,
+        level, min_match=least_match, window_log=18, hash_log=17, chain_log=17, write_content_size=False,
         write_checksum=False, write_dict_id=False)
     words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(dict_data=words, compression_params=parameters)
 
 
 class WindowGains:
-    """Gains of the windows of texts, summed up as four statistics."""
+    """How many windows of a text gain so many bytes, and the number of windows."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.ordinary, self.toxic = compressor(ordinary).compress, compressor(toxic).compress
+        self.pairs = [(compressor(ordinary, *s).compress, compressor(toxic, *s).compress) for s in SETTINGS]
 
-    def __call__(self, text: str | None) -> tuple[float, float, float, float]:
+    def __call__(self, text: str | None) -> list[int]:
+        """For each setting GAINS counts (gains of 1, 2, ... bytes, the last also of more), then the windows."""
         words = _SPACED.findall(text.lower()) if text else []
-        if not words:
-            return 0.0, 0.0, 0.0, 0.0
-        ordinary, toxic = self.ordinary, self.toxic
-        top, total, strong = [0, 0, 0], 0, 0
-        for i in range(0, len(words), WINDOW_WORDS):
-            window = f" {' '.join(words[i:i + WINDOW_WORDS])} ".encode()
-            gain = len(ordinary(window)) - len(toxic(window))
-            if gain:
-                total += gain
-                strong += gain >= STRONG_GAIN
-                if gain > top[0]:
-                    top = sorted([*top[1:], gain])
-        windows = -(-len(words) // WINDOW_WORDS)
-        return float(top[2]), sum(top) / min(3, windows), total / windows, strong / windows
-
-
-def design(stats: np.ndarray) -> np.ndarray:
-    """Statistics on comparable scales, with a constant."""
-    top, three, mean, strong = stats.reshape(-1, 4).T
-    return np.column_stack([top / 8, three / 8, np.clip(mean, -2, 2), strong * 10,
-                            (top >= STRONG_GAIN).astype(float), np.ones(len(top))])
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> np.ndarray:
+        windows = [f" {' '.join(words[i:i + WINDOW_WORDS])} ".encode() for i in range(0, len(words), WINDOW_WORDS)]
+        out = []
+        for ordinary, toxic in self.pairs:
+            counts = [0] * GAINS
+            for window in windows:
+                gain = len(ordinary(window)) - len(toxic(window))
+                if gain > 0:
+                    counts[min(gain, GAINS) - 1] += 1
+            out += counts
+        return [*out, len(windows)]
+
+
+def design(counts: np.ndarray) -> np.ndarray:
+    """What the calibration sees: windows that reach each threshold, as yes or no, logarithm and share."""
+    counts = counts.reshape(-1, len(SETTINGS) * GAINS + 1).astype(float)
+    windows, parts = counts[:, -1:], [np.ones((len(counts), 1)), np.log1p(counts[:, -1:])]
+    for k in range(len(SETTINGS)):
+        reach = counts[:, k * GAINS:(k + 1) * GAINS][:, ::-1].cumsum(axis=1)[:, ::-1]
+        parts += [reach > 0, np.log1p(reach), 10 * reach / np.maximum(windows, 1)]
+    return np.hstack(parts)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 2e-3, steps: int = 30) -> np.ndarray:
     """Logistic regression by Newton steps."""
     w = np.zeros(x.shape[1])
     for _ in range(steps):
@@ -143,8 +143,8 @@ class ToxicityModel:
     weights: np.ndarray
 
     def score(self, texts: list[str | None], gains: WindowGains) -> np.ndarray:
-        stats = np.array([gains(t) for t in texts]).reshape(-1, 4)
-        return 1 / (1 + np.exp(-np.clip(design(stats) @ self.weights, -30, 30)))
+        counts = np.array([gains(t) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(design(counts) @ self.weights, -30, 30)))
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
@@ -169,11 +169,13 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED_ROWS)
     half = np.arange(len(rows)) % 2 == 0
     if not len(y) or min(y[half].sum(), (1 - y[half]).sum(), y[~half].sum(), (1 - y[~half]).sum()) < 1:
         rate = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
-        return ToxicityModel(b"\n" * 16, b"\n" * 16, np.array([0, 0, 0, 0, 0, np.log(rate / (1 - rate))]))
+        weights = np.zeros(2 + 3 * GAINS * len(SETTINGS))
+        weights[0] = np.log(rate / (1 - rate))
+        return ToxicityModel(b"\n" * 16, b"\n" * 16, weights)
     ordinary, toxic = train_dictionaries([t for t, h in zip(texts, half) if h], y[half])
     gains = WindowGains(ordinary, toxic)
-    stats = np.array([gains(t) for t, h in zip(texts, half) if not h])
-    return ToxicityModel(ordinary, toxic, fit_logistic(design(stats), y[~half]))
+    counts = np.array([gains(t) for t, h in zip(texts, half) if not h])
+    return ToxicityModel(ordinary, toxic, fit_logistic(design(counts), y[~half]))
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, threshold: float = 0.7,
