@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.words import configure, keyed_texts, map_batches
 
-MAX_LABELLED_ROWS = 20_000   # rows that fit dictionaries and calibration, at most
+MAX_LABELLED_ROWS = 12_000   # rows that fit dictionaries and calibration, at most
 WINDOW_WORDS = 8
 ORDINARY_BYTES = 65_536      # size of the shared part of the dictionaries
 MAX_SEGMENTS = 2_000
