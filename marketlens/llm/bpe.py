@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -71,16 +71,17 @@ class Coder:
             self.pieces[i] = token.encode() if token in added else bytes(symbols[c] for c in token)
         self.widths = np.array([len(p) for p in self.pieces])
         self._known: dict[str, bytes] = {}
-        self.quick = self._quick(path)
+        self.path = path
 
-    def _quick(self, path: str):
+    @cached_property
+    def quick(self):
         """A faster coder for plain pieces, where the file is the kind that it equals.
 
         It merges by rank of the merged token, so ids have to follow the merges.
         """
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
+        with open(self.path, encoding="utf-8") as f:
             file = json.load(f)
         model, cutter = file["model"], file["pre_tokenizer"] or {}
         ids = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model.get("merges", ())]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 << 20
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
