@@ -177,7 +177,7 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(classes), pa.array(keys)], names=["class_a", "key"])
 
     place = F.when(F.col("settled") == 1, F.xxhash64("class_a")).otherwise(F.xxhash64("key"))
-    return (rows.withColumn("place", place).repartition("place").drop("place")
+    return (rows.repartition(place)
             .sortWithinPartitions("settled", "key", F.desc("multi"), "class_a")
             .mapInArrow(run, "class_a long, key long").distinct())
 
@@ -238,7 +238,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(own[take]), pa.array(at[take])], names=["doc_id", "at"])
 
     place = F.when(F.col("settled") == 1, F.xxhash64("doc_id")).otherwise(F.xxhash64("a", "b"))
-    return (rows.withColumn("place", place).repartition("place").drop("place")
+    return (rows.repartition(place)
             .sortWithinPartitions("settled", "a", "b", "doc_id").mapInArrow(run, "doc_id long, at long"))
 
 
