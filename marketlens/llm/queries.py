@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, language, packing, quality, toxicity
+from marketlens.llm import bpe, language, oracle, packing, quality, toxicity
 from marketlens.llm.ann import nearest
 from marketlens.llm.imatch import fingerprints
 from marketlens.llm.neardup import near_duplicates
@@ -90,4 +90,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": oracle.WARC, "op7_repeated_passages": oracle.REPEATS,
+            "op9_near_duplicates": oracle.NEAR_DUPLICATES}
