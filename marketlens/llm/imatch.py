@@ -8,9 +8,10 @@ occur in a share of MIN_SHARE of the texts. Terms are known by their 64-bit hash
 Each of several randomised lexicon subsets keeps a fixed, hash-chosen part of the
 lexicon, the parts getting thinner, so that short and long texts each have
 subsets that hold a handful of their terms. Only those speak for a text: a
-subset's hash covers the text's 1 to MOST terms in it, sorted. A text without a
-lexicon term has the hash of all its terms instead. The likeness of two
-fingerprints is the share of equal hashes among the subsets that speak for either.
+subset's hash covers the text's 1 to MOST terms in it, sorted. A text for which no
+subset speaks has the hash of all its terms instead, so that only texts without
+terms are silent. The likeness of two fingerprints is the share of equal hashes
+among the subsets that speak for either.
 """
 
 from __future__ import annotations
@@ -23,7 +24,11 @@ from marketlens.session import materialize
 
 MIN_SHARE, MAX_SHARE = 1 / 128, 1 / 4   # of texts that hold a lexicon term
 # One in so many lexicon terms belongs to each subset.
-SUBSETS = (1, 2, 2, 4, 4, 4, 8, 8, 8, 16, 16, 16, 32, 32, 32, 64, 64, 64, 128, 128, 128, 256, 256, 256, 512, 512)
+SUBSETS = (1, 2, 2, 4, 4, 4, 8, 8, 8, 16, 16, 16)
+# Thinner subsets are drawn from PARTS parts of one in PART terms, so that the long list of terms is read less often.
+PARTS, PART = 3, 16
+THINNER = tuple(1 << i for i in range(5, 17))
+HASHES = len(SUBSETS) + PARTS * len(THINNER) + 1
 MOST = 4
 EMPTY = "-" * 16
 SPLITS = 64                             # runs of ids per 64 shuffle partitions, at least
@@ -46,16 +51,29 @@ def lexicon(texts: DataFrame, low: float = MIN_SHARE, high: float = MAX_SHARE) -
 
 
 def subset_hashes(found: Column, every: Column) -> Column:
-    """Array of one hash per subset, and of the one for texts without lexicon terms."""
+    """Array of one hash per subset, and of the one for texts for which no subset speaks."""
     def digits(part: Column) -> Column:
-        return F.lpad(F.lower(F.hex(F.xxhash64(part))), 16, "0")
+        return F.lpad(F.lower(F.hex(part)), 16, "0")
 
-    def own(i: int, thin: int) -> Column:
-        part = F.filter(found, lambda t: F.pmod(F.xxhash64(t, F.lit(i)), F.lit(thin)) == 0)
-        return F.transform(F.array(part), lambda x: F.when(
-            F.size(x).between(1, MOST), digits(x)).otherwise(F.lit(EMPTY)))[0]
-    rest = F.when((F.size(found) == 0) & every.isNotNull(), F.lpad(F.lower(F.hex(every)), 16, "0")).otherwise(EMPTY)
-    return F.array(*[own(i, thin) for i, thin in enumerate(SUBSETS)], rest)
+    def drawn(terms: Column, i: int, thin: int) -> Column:
+        return F.filter(terms, lambda t: F.pmod(F.xxhash64(t, F.lit(i)), F.lit(thin)) == 0)
+
+    def bound(value: Column, use) -> Column:
+        """``use(value)``, the value made once."""
+        return F.transform(F.array(value), use)[0]
+
+    def own(terms: Column, i: int, thin: int) -> Column:
+        return bound(drawn(terms, i, thin), lambda x: F.when(
+            F.size(x).between(1, MOST), digits(F.xxhash64(x))).otherwise(F.lit(EMPTY)))
+
+    def thinner(j: int) -> Column:
+        first = len(SUBSETS) + PARTS + j * len(THINNER)
+        return bound(drawn(found, len(SUBSETS) + j, PART), lambda part: F.array(*[
+            own(part, first + i, thin // PART) for i, thin in enumerate(THINNER)]))
+
+    hashes = F.concat(F.array(*[own(found, i, thin) for i, thin in enumerate(SUBSETS)]), *map(thinner, range(PARTS)))
+    return bound(hashes, lambda said: F.concat(said, F.array(F.when(
+        F.forall(said, lambda h: h == EMPTY) & every.isNotNull(), digits(every)).otherwise(F.lit(EMPTY)))))
 
 
 def likeness(x: Column, y: Column) -> Column:
@@ -121,7 +139,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - quarter),
         F.substring(F.coalesce(F.col("next_text"), F.lit("")), F.lit(1), quarter)))
-    silent = F.array(*[F.lit(EMPTY)] * (len(SUBSETS) + 1))
+    silent = F.array(*[F.lit(EMPTY)] * HASHES)
     rows = hashed(rows, "edited").withColumn("next_hashes", F.coalesce("next_text_hashes", silent))
     return rows.select(
         "doc_id", "n_chars", "edited",

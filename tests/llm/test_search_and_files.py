@@ -142,3 +142,27 @@ def test_fingerprints(spark, documents):
     assert np.mean([r.near_edited for r in out]) > np.mean([r.near_next for r in out]) + 0.2
     assert imatch.fingerprints(documents((1, "x")).limit(0)).count() == 0
     assert len(imatch.fingerprints(documents((1, "only one"))).collect()) == 1
+
+
+def test_fingerprints_of_texts_with_very_many_lexicon_terms(spark, documents):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(20_000)]
+    rows = [(i, " ".join(rng.sample(words, 3_000))) for i in range(30)]
+    half = len(words) // 2
+    rows += [(100, " ".join(words[:half])), (101, " ".join(words[half:])), (102, " ".join(words)), (103, "")]
+    out = {r.doc_id: r for r in imatch.fingerprints(documents(*rows)).collect()}
+    for i in (100, 101, 102):
+        spoken = [h for h in out[i].fingerprint.split(".") if h != imatch.EMPTY]
+        assert len(spoken) >= 3 and out[i].near_edited < 1
+    assert out[100].near_next == 0 and out[101].near_next < 1 and out[102].near_next == 0
+    assert 0 < out[102].near_edited
+    assert len({out[i].fingerprint for i in (100, 101, 102, 103)}) == 4
+
+
+def test_every_number_of_lexicon_terms_has_a_fingerprint(spark):
+    sizes = [1, 4, 5, 100, 1_436, 8_000, 100_000, 3_000_000]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long").selectExpr(
+        "n", "sort_array(transform(sequence(1, n), i -> xxhash64(i))) found")
+    df = df.select("n", imatch.subset_hashes(imatch.F.col("found"), imatch.F.lit(7)).alias("hashes"))
+    for r in df.collect():
+        assert sum(h != imatch.EMPTY for h in r.hashes) >= (2 if r.n <= 100_000 else 1), r.n
