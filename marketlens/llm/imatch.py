@@ -96,8 +96,15 @@ def with_next(df: DataFrame) -> DataFrame:
     runs = max(SPLITS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     edges = keyed.select("order").agg(F.min("order").alias("low"), F.percentile_approx(
         "order", [i / runs for i in range(1, runs)], 10_000).alias("cuts")).first()
-    starts = sorted({edges.low, *edges.cuts}) if edges.low is not None else [0]  # at most ``runs`` ids
-    run = F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= F.col("order")))
+    cuts = sorted({edges.low, *edges.cuts}) if edges.low is not None else [0]
+
+    def among(starts: list[int]) -> Column:
+        return F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= F.col("order")))
+
+    # Cuts are doubles within: each run begins with its smallest id, and runs without rows go. At most ``runs`` ids.
+    lows = keyed.groupBy(among(cuts).alias("run")).agg(F.min("order").alias("low")).collect()
+    starts = sorted(r.low for r in lows) or [0]
+    run = among(starts)
     own = keyed.withColumn("run", run).withColumn("guest", F.lit(0))
     columns = ["order", "text", "text_hashes"]
     heads = (own.filter(F.col("order").isin(starts)).groupBy("run").agg(F.min(F.struct(*columns)).alias("head"))

@@ -166,3 +166,22 @@ def test_every_number_of_lexicon_terms_has_a_fingerprint(spark):
     df = df.select("n", imatch.subset_hashes(imatch.F.col("found"), imatch.F.lit(7)).alias("hashes"))
     for r in df.collect():
         assert sum(h != imatch.EMPTY for h in r.hashes) >= (2 if r.n <= 100_000 else 1), r.n
+
+
+def follow(rows):
+    """(id, edited text) of each row by brute force."""
+    ordered = sorted(rows)
+    following = [t for _, t in ordered[1:]] + [ordered[0][1]]
+    return [(i, t[:len(t) - len(t) // 4] + n[:len(t) // 4]) for (i, t), n in zip(ordered, following)]
+
+
+@pytest.mark.parametrize("ids", ["hashes", "gaps"])
+def test_next_document_of_large_ids(spark, documents, ids):
+    rng = random.Random(2)
+    if ids == "hashes":
+        keys = [rng.randrange(-(1 << 63), (1 << 63) - 1) for _ in range(400)]
+    else:
+        keys = [(1 << 60) + (i if i < 200 else (1 << 59) + 999 * i) for i in range(400)]
+    rows = [(k, f"{i} " + " ".join(rng.choices("abcdefgh", k=12))) for i, k in enumerate(keys)]
+    out = imatch.fingerprints(documents(*rows)).select("doc_id", "edited").collect()
+    assert sorted(map(tuple, out)) == follow(rows)
