@@ -12,6 +12,10 @@ subset's hash covers the text's 1 to MOST terms in it, sorted. A text for which
 subset speaks has the hash of all its terms instead, so that only texts without
 terms are silent. The likeness of two fingerprints is the share of equal hashes
 among the subsets that speak for either.
+
+A fingerprint has these hashes twice, of the terms in the lexicon and of all terms.
+The latter are compared where a text has at most MOST lexicon terms, as texts of a
+rare language or source have, the former elsewhere.
 """
 
 from __future__ import annotations
@@ -35,9 +39,9 @@ SPLITS = 64                             # runs of ids per 64 shuffle partitions,
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct terms: runs of letters and digits, lower-cased."""
+    """Hashes of the distinct terms, sorted: runs of letters and digits, lower-cased."""
     found = F.transform(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: F.xxhash64(t))
-    return F.array_distinct(F.array_remove(found, F.xxhash64(F.lit(""))))
+    return F.sort_array(F.array_distinct(F.array_remove(found, F.xxhash64(F.lit("")))))
 
 
 def lexicon(texts: DataFrame, low: float = MIN_SHARE, high: float = MAX_SHARE) -> DataFrame:
@@ -76,12 +80,19 @@ def subset_hashes(found: Column, every: Column) -> Column:
         F.forall(said, lambda h: h == EMPTY) & every.isNotNull(), digits(every)).otherwise(F.lit(EMPTY)))))
 
 
+def few(hashes: Column) -> Column:
+    """Whether the lexicon subsets say too little: 0 to MOST lexicon terms, or so many that none speaks."""
+    return (hashes[0] != EMPTY) | F.forall(F.slice(hashes, 1, HASHES - 1), lambda h: h == EMPTY)
+
+
 def likeness(x: Column, y: Column) -> Column:
     """Share of equal hashes among the subsets that speak for either text; two silent ones are alike."""
-    pairs = F.arrays_zip(x.alias("x"), y.alias("y"))
-    said = F.filter(pairs, lambda p: (p["x"] != EMPTY) | (p["y"] != EMPTY))
-    same = F.filter(said, lambda p: p["x"] == p["y"])
-    return F.when(F.size(said) == 0, F.lit(1.0)).otherwise(F.size(same) / F.size(said))
+    def share(start: int) -> Column:
+        pairs = F.arrays_zip(F.slice(x, start, HASHES).alias("x"), F.slice(y, start, HASHES).alias("y"))
+        said = F.filter(pairs, lambda p: (p["x"] != EMPTY) | (p["y"] != EMPTY))
+        same = F.filter(said, lambda p: p["x"] == p["y"])
+        return F.when(F.size(said) == 0, F.lit(1.0)).otherwise(F.size(same) / F.size(said))
+    return F.when(few(x) | few(y), share(HASHES + 1)).otherwise(share(1))
 
 
 def with_next(df: DataFrame) -> DataFrame:
@@ -133,11 +144,12 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = materialize(lexicon(texts), "lexicon")
 
     def hashed(df: DataFrame, name: str) -> DataFrame:
-        every = F.when(F.size("terms") > 0, F.xxhash64(F.sort_array("terms")))
+        every = F.when(F.size("terms") > 0, F.xxhash64("terms"))
         return (df.withColumn("lexicon", kept.scalar()).withColumn("terms", terms(F.col(name)))
                 .withColumn("every", every)
-                .withColumn("found", F.sort_array(F.array_intersect("terms", "lexicon")))
-                .withColumn(f"{name}_hashes", subset_hashes(F.col("found"), F.col("every")))
+                .withColumn("found", F.array_intersect("terms", "lexicon"))
+                .withColumn(f"{name}_hashes", F.concat(*[
+                    subset_hashes(F.col(part), F.col("every")) for part in ("found", "terms")]))
                 .drop("lexicon", "terms", "every", "found"))
 
     texts = hashed(texts, "text")
@@ -146,7 +158,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - quarter),
         F.substring(F.coalesce(F.col("next_text"), F.lit("")), F.lit(1), quarter)))
-    silent = F.array(*[F.lit(EMPTY)] * HASHES)
+    silent = F.array(*[F.lit(EMPTY)] * (2 * HASHES))
     rows = hashed(rows, "edited").withColumn("next_hashes", F.coalesce("next_text_hashes", silent))
     return rows.select(
         "doc_id", "n_chars", "edited",

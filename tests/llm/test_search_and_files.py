@@ -185,3 +185,16 @@ def test_next_document_of_large_ids(spark, documents, ids):
     rows = [(k, f"{i} " + " ".join(rng.choices("abcdefgh", k=12))) for i, k in enumerate(keys)]
     out = imatch.fingerprints(documents(*rows)).select("doc_id", "edited").collect()
     assert sorted(map(tuple, out)) == follow(rows)
+
+
+def test_fingerprints_of_a_small_language(spark, documents):
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(200)]
+    rows = [(i, " ".join(rng.sample(common, 20))) for i in range(2_000)]
+    small = {500 * j + 250: [f"s{j}x{i}" for i in range(60 + j)] for j in range(4)}
+    few = {500 * j + 350: common[j:j + 3] + [f"f{j}x{i}" for i in range(60 + j)] for j in range(4)}
+    rows = [(i, " ".join((small | few)[i]) if i in small | few else t) for i, t in rows]
+    out = {r.doc_id: r for r in imatch.fingerprints(documents(*rows)).collect()}
+    for group in (small, few):
+        assert np.mean([out[i].near_edited for i in group]) > 0.2
+        assert np.mean([out[i].near_next for i in group]) < 0.05
