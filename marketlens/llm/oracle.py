@@ -54,3 +54,18 @@ lowest as (select a as doc_id, min(b) as low from reached group by a)
 select doc_id, coalesce(size, 0) as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id,
   doc_id <= coalesce(low, doc_id) as kept
 from documents left join sizes using (doc_id) left join lowest using (doc_id)"""
+
+CHAT = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+    case when conv_id is null then uuid() end as lone from conversations
+  union all select -1, turn, role, '<|im_end|><|im_start|>assistant ok', null
+  from (values (0, 'user'), (1, 'assistant')) as v(turn, role)),
+pieces as (select *, length('<|im_start|>' || url_encode(role)) + 1
+    + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + length('<|im_end|>') + 1 as chars from turns)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(chars)::bigint as formatted_chars
+from pieces group by conv_id, lone"""
