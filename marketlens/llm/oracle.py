@@ -69,3 +69,23 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(chars)::bigint as formatted_chars
 from pieces group by conv_id, lone"""
+
+PHRASES = rf"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+runs as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+totals as (select lang, sum(len(ws))::hugeint as n from runs group by lang),
+spans as (select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from runs, range(1, 6) as s(k) where len(ws) >= k),
+counts as (select lang, array_to_string(ws[i:i + k - 1], ' ') as phrase, k, count(*) as a from spans group by all having count(*) >= 100),
+cuts as (select lang, phrase, a, unnest(range(1, k)) as c, string_split(phrase, ' ') as ws from counts where k >= 2),
+scored as (select c.lang, c.phrase, c.a, x.a as l, y.a as r, n, c.c, (1000::hugeint * c.a * n) // (x.a::hugeint * y.a) as score
+  from cuts c join totals using (lang)
+  join counts x on x.lang = c.lang and x.phrase = array_to_string(ws[1:c.c], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(ws[c.c + 1:], ' ')),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+kept as (select * from weakest p where not exists (select 1 from counts q where q.lang = p.lang
+  and 100 * q.a >= 100 * p.a and len(string_split(q.phrase, ' ')) > len(string_split(p.phrase, ' '))
+  and contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')))
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank,
+  phrase, a, l, r, n::bigint as n, score::bigint as score
+from kept qualify row_number() over (partition by lang order by score desc, a desc, encode(phrase)) <= 2000"""

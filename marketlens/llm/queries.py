@@ -11,6 +11,7 @@ from marketlens.llm import bpe, chat, language, oracle, packing, quality, toxici
 from marketlens.llm.ann import nearest
 from marketlens.llm.imatch import fingerprints
 from marketlens.llm.neardup import near_duplicates
+from marketlens.llm.phrases import collocations
 from marketlens.llm.substrings import remove_repeats
 from marketlens.llm.warc import archive_pages
 from marketlens.llm.words import table
@@ -98,12 +99,17 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bpe, op2_nearest, op3_packing, op4_quality, op5_fingerprints, op6_warc, op7_repeated_passages, op8_languages,
-        op9_near_duplicates, op10_toxicity, op11_chat)}
+        op9_near_duplicates, op10_toxicity, op11_chat, op12_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op6_warc": oracle.WARC, "op7_repeated_passages": oracle.REPEATS,
-            "op9_near_duplicates": oracle.NEAR_DUPLICATES, "op11_chat": oracle.CHAT}
+            "op9_near_duplicates": oracle.NEAR_DUPLICATES, "op11_chat": oracle.CHAT,
+            "op12_phrases": oracle.PHRASES}
