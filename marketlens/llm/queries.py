@@ -12,6 +12,7 @@ from marketlens.llm.ann import nearest
 from marketlens.llm.imatch import fingerprints
 from marketlens.llm.neardup import near_duplicates
 from marketlens.llm.phrases import collocations
+from marketlens.llm.spelling import spelling_variants
 from marketlens.llm.substrings import remove_repeats
 from marketlens.llm.warc import archive_pages
 from marketlens.llm.words import table
@@ -103,10 +104,14 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bpe, op2_nearest, op3_packing, op4_quality, op5_fingerprints, op6_warc, op7_repeated_passages, op8_languages,
-        op9_near_duplicates, op10_toxicity, op11_chat, op12_phrases)}
+        op9_near_duplicates, op10_toxicity, op11_chat, op12_phrases, op13_spelling)}
 
 
 def oracle_sql() -> dict[str, str]:
