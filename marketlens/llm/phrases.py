@@ -14,11 +14,15 @@ count. A path also tells which phrases always lie in a longer one.
 
 Words that cannot be frequent end a run, as no frequent phrase holds them. They are
 found by a table of hashed counts of fixed size: a word may pass it in error, never fail.
+
+In an edge, words of a bounded dictionary are two bytes, all others are spelled out. The
+dictionary comes from a sample of texts; it decides on the size of edges, not on results.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -40,7 +44,8 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 22            # of hashed word counts: half a megabyte of bits
 EDGES_PER_TASK = 4_000_000
 MOST_TASKS, SAMPLES = 20_000, 200_000
-SAMPLE_TEXTS = 2_000         # texts whose edges tell where the ranges begin; no result depends on them
+SAMPLE_TEXTS = 5_000         # texts that tell frequent words and where ranges begin; no result depends on them
+CODES, ENTRIES = 1 << 14, 1 << 17  # dictionary words of a language, and of all
 RANGE_BYTES = 48             # of an edge that choose its range
 ROWS = 1 << 16               # edges that a task looks at together
 
@@ -50,7 +55,7 @@ _APART = _BREAK.copy()
 _APART[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLANK, _LINE = 0x20, 0x0A
+_BLANK, _LINE, _SPELLED = 0x20, 0x0A, 0x0D  # none is part of a word: end of a spelled word, end of the language, its start
 
 
 @dataclass
@@ -94,10 +99,15 @@ def _seed(prefix: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(prefix, digest_size=8).digest(), "little")
 
 
-def _buckets(found: Pieces, prefixes: list[bytes]) -> np.ndarray:
+def _keys(found: Pieces, prefixes: list[bytes]) -> np.ndarray:
+    """Hash of each word together with its language."""
     seeds = {p: _seed(p) for p in set(prefixes)}
     by_text = np.array([seeds[p] for p in prefixes], np.uint64)
-    return (mix(found.words.hashes() ^ by_text[found.words.doc]) % np.uint64(BUCKETS)).astype(np.int64)
+    return mix(found.words.hashes() ^ by_text[found.words.doc])
+
+
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    return (keys % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[Block, list[bytes]]]:
@@ -113,7 +123,7 @@ def word_totals(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for block, prefixes in _texts(batch):
                 found = pieces(block)
-                counts += np.bincount(_buckets(found, prefixes), minlength=BUCKETS)
+                counts += np.bincount(_buckets(_keys(found, prefixes)), minlength=BUCKETS)
                 for prefix, n in zip(prefixes, np.diff(found.words.bounds).tolist()):
                     totals[prefix] = totals.get(prefix, 0) + n
         seen = np.flatnonzero(counts)
@@ -151,12 +161,92 @@ def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.arange(int(total[-1]) if len(total) else 0) + np.repeat(start - (total - size), size)]
 
 
-def _edges(block: Block, prefixes: list[bytes], bits: np.ndarray) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per language of a block: (prefix, spaced bytes, start, size, weight) of its distinct edges."""
+class Dictionary:
+    """Two-byte codes of some words of each language; both bytes have their high bit set."""
+
+    def __init__(self, entries: list[tuple[bytes, bytes]]):
+        self.words: dict[bytes, list[bytes]] = {}
+        codes = []
+        for prefix, word in entries:
+            own = self.words.setdefault(prefix, [])
+            codes.append(len(own))
+            own.append(word)
+        self.codes = np.array(codes, np.int64)
+        self.sizes = np.array([len(w) for _, w in entries], np.int64)
+        self.data = np.frombuffer(b"".join(w + b" " for _, w in entries), np.uint8)
+        self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
+        self.keys = np.zeros(len(entries), np.uint64)
+        if entries:
+            every = Words(self.data, self.starts, self.starts + self.sizes, np.array([0, len(entries)])).hashes()
+            seeds = {p: _seed(p) for p in self.words}
+            self.keys = mix(every ^ np.array([seeds[p] for p, _ in entries], np.uint64))
+        self.order = np.argsort(self.keys)
+        self.sorted = self.keys[self.order]
+
+    def lookup(self, keys: np.ndarray, words: Words) -> np.ndarray:
+        """Code of each word, or -1. Hashes propose, bytes decide."""
+        out = np.full(len(keys), -1, np.int64)
+        if not len(self.sorted):
+            return out
+        entry = self.order[np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)]
+        size = words.end - words.start
+        known = np.flatnonzero((self.keys[entry] == keys) & (self.sizes[entry] == size))
+        if len(known):
+            own, size = entry[known], size[known]
+            unlike = _slices(words.data, words.start[known], size) != _slices(self.data, self.starts[own], size)
+            good = ~np.logical_or.reduceat(unlike, np.cumsum(size) - size)
+            out[known[good]] = self.codes[own[good]]
+        return out
+
+    def said(self, edge: bytes) -> bytes:
+        """An edge in words, each followed by a blank, after its language."""
+        at = edge.index(_LINE) + 1
+        prefix, out = edge[:at], []
+        own = self.words.get(prefix, [])
+        while at < len(edge):
+            if edge[at] == _SPELLED:
+                end = edge.index(_BLANK, at)
+                out.append(edge[at + 1:end])
+                at = end + 1
+            else:
+                out.append(own[(edge[at] - 128) * 128 + edge[at + 1] - 128])
+                at += 2
+        return prefix + b"".join(w + b" " for w in out)
+
+
+def word_ends(data: np.ndarray) -> np.ndarray:
+    """Last byte of the language and of every word of some edges, one after the other."""
+    depth = np.cumsum((data == _SPELLED).astype(np.int8) - (data == _BLANK), dtype=np.int32)
+    coded = np.flatnonzero((data >= 128) & (depth == 0))  # a language is ASCII
+    ends = (data == _BLANK) | (data == _LINE)
+    ends[coded[1::2]] = True
+    return np.flatnonzero(ends)
+
+
+def _encoded(words: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words as an edge holds them, one after the other: bytes and offsets."""
+    size = words.end - words.start
+    known = codes >= 0
+    offsets = np.concatenate([[0], np.cumsum(np.where(known, 2, size + 2))])
+    out = np.empty(int(offsets[-1]), np.uint8)
+    at = offsets[:-1][known]
+    out[at], out[at + 1] = 128 + codes[known] // 128, 128 + codes[known] % 128
+    spelled = np.flatnonzero(~known)
+    at, size = offsets[spelled], size[spelled]
+    out[at], out[at + 1 + size] = _SPELLED, _BLANK
+    total = np.cumsum(size)
+    place = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(at + 1 - (total - size), size)
+    out[place] = _slices(words.data, words.start[spelled], size)
+    return out, offsets
+
+
+def _edges(block: Block, prefixes: list[bytes], bits: np.ndarray, known: Dictionary) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per language of a block: (prefix, bytes, start, size, weight) of its distinct edges."""
     found = pieces(block)
     if not len(found.linked):
         return
-    kept = bits[_buckets(found, prefixes)]
+    keys = _keys(found, prefixes)
+    kept = bits[_buckets(keys)]
     linked = found.linked & kept
     linked[:-1] &= kept[1:]
     length, reach = np.ones(len(kept), np.int64), linked.copy()
@@ -164,22 +254,20 @@ def _edges(block: Block, prefixes: list[bytes], bits: np.ndarray) -> Iterator[tu
         length += reach
         reach[:-step] &= linked[step:]
         reach[-step:] = False
-    data, first, end = found.words.data, found.words.start, found.words.end
+    data, offsets = _encoded(found.words, known.lookup(keys, found.words))
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    doc = found.words.doc
     codes: dict[bytes, int] = {}
-    lang = np.array([codes.setdefault(p, len(codes)) for p in prefixes])[doc]
-    hashes = found.words.hashes()
+    lang = np.array([codes.setdefault(p, len(codes)) for p in prefixes])[found.words.doc]
     for prefix, code in codes.items():
         own = np.flatnonzero(kept & (lang == code))
         if not len(own):
             continue
-        start, words = first[own], length[own]
-        size = end[own + words - 1] + 1 - start
+        start, words = offsets[own], length[own]
+        size = offsets[own + words] - start
         name = np.zeros(len(own), np.uint64)
         for k in range(LONGEST):
             there = words > k
-            name[there] = mix(name[there] * np.uint64(3) ^ hashes[own[there] + k])
+            name[there] = mix(name[there] * np.uint64(3) ^ keys[own[there] + k])
         head = padded[start[:, None] + np.arange(8)]
         head[np.arange(8) >= size[:, None]] = 0
         order = np.lexsort((name, head.view(">u8").ravel()))
@@ -195,15 +283,38 @@ def _edges(block: Block, prefixes: list[bytes], bits: np.ndarray) -> Iterator[tu
         yield prefix, data, start[distinct], size[distinct], np.diff(np.append(distinct, len(order)))
 
 
-def edges(texts: DataFrame, bits: np.ndarray, cuts: list[bytes]) -> DataFrame:
+def dictionary(sample: DataFrame) -> Dictionary:
+    """The most frequent words of some texts: at most CODES of a language, ENTRIES in all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for block, prefixes in _texts(batch):
+                found = pieces(block).words
+                for prefix, start, end in zip(prefixes, found.bounds[:-1], found.bounds[1:]):
+                    if start < end:
+                        text = found.data[found.start[start]:found.end[end - 1]].tobytes()
+                        counts.update((prefix, w) for w in text.split(b" "))
+            if counts:
+                prefix, word = zip(*counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(prefix, pa.binary()), pa.array(word, pa.binary()), pa.array(list(counts.values()), pa.int64())],
+                    names=["prefix", "word", "n"])
+
+    counted = sample.mapInArrow(run, "prefix binary, word binary, n long").groupBy("prefix", "word").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("prefix").orderBy(F.desc("n"), "word"))
+    most = counted.withColumn("place", place).filter(F.col("place") <= CODES).orderBy(F.desc("n"), "prefix", "word").limit(ENTRIES)
+    return Dictionary([(bytes(r.prefix), bytes(r.word)) for r in most.collect()])
+
+
+def edges(texts: DataFrame, bits: np.ndarray, known: Dictionary, cuts: list[bytes]) -> DataFrame:
     """(part, edge, weight): runs of words with their language in front, summed per block of text."""
     starts = np.array(cuts, f"S{RANGE_BYTES}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(bits, bitorder="little").astype(bool)
+        frequent = np.unpackbits(bits, bitorder="little").astype(bool)
         for batch in batches:
             for block, prefixes in _texts(batch):
-                for prefix, data, start, size, weight in _edges(block, prefixes, known):
+                for prefix, data, start, size, weight in _edges(block, prefixes, frequent, known):
                     for at in range(0, len(start), ROWS):
                         yield _edge_batch(prefix, data, start[at:at + ROWS], size[at:at + ROWS], weight[at:at + ROWS], starts)
 
@@ -248,7 +359,7 @@ class Flow:
         sizes = np.array([len(e) for e in rows])
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         data = np.frombuffer(b"".join(rows), np.uint8)
-        # Words shared with the row before: blanks within the common bytes, and the language's line break.
+        # Words shared with the row before: those that end within the common bytes, the language apart.
         within = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
         before = np.concatenate([[0], sizes[:-1]])
         there = within < np.repeat(before, sizes)
@@ -257,7 +368,7 @@ class Flow:
         unlike[spot] = data[spot] != data[spot - np.repeat(before, sizes)[spot]]
         alike = np.minimum.reduceat(np.where(unlike, within, np.iinfo(np.int64).max), offsets[:-1])
         alike = np.minimum(alike, sizes)
-        apart = np.flatnonzero((data == _BLANK) | (data == _LINE))
+        apart = word_ends(data)
         first = np.searchsorted(apart, offsets)
         shared = np.searchsorted(apart, offsets[:-1] + alike) - first[:-1] - 1
         words = np.diff(first) - 1
@@ -294,16 +405,16 @@ class Flow:
         """The nodes of the last edge."""
         if self.edge is None:
             return []
-        apart = [i + 1 for i, c in enumerate(self.edge) if c in (_BLANK, _LINE)]
+        apart = (word_ends(np.frombuffer(self.edge, np.uint8)) + 1).tolist()
         return [(self.edge[:apart[k]], k, int(self.sums[k - 1]), True) for k in range(1, len(apart))]
 
 
-def paths(sorted_edges: DataFrame, least: int) -> DataFrame:
-    """(path, shortest, n, outer) of the nodes that occur ``least`` times in a task, or touch its ends."""
+def paths(sorted_edges: DataFrame, known: Dictionary, least: int) -> DataFrame:
+    """(path, shortest, n, outer) of the nodes that occur ``least`` times in a task, or touch its ends; paths in words."""
     def batch(rows: list) -> pa.RecordBatch:
         path, shortest, n, outer = zip(*rows)
         return pa.RecordBatch.from_arrays([
-            pa.array(path, pa.binary()), pa.array(shortest, pa.int32()), pa.array(n, pa.int64()), pa.array(outer)],
+            pa.array([known.said(p) for p in path], pa.binary()), pa.array(shortest, pa.int32()), pa.array(n, pa.int64()), pa.array(outer)],
             names=["path", "shortest", "n", "outer"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,11 +445,13 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     bits = frequent_buckets(totals, least)
     words = totals.filter("bucket is null").agg(F.sum("n").alias("n")).first().n or 0
     tasks = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // EDGES_PER_TASK)), MOST_TASKS)
-    sample = edges(texts.sample(min(1.0, SAMPLE_TEXTS / max(texts.count(), 1)), seed=1), bits, [])
-    some = sorted(bytes(r.edge) for r in sample.select("edge").orderBy(F.xxhash64("edge")).limit(min(64 * tasks, SAMPLES)).collect())
+    sample = materialize(texts.sample(min(1.0, SAMPLE_TEXTS / max(texts.count(), 1)), seed=1), "sample-texts")
+    known = dictionary(sample)
+    some = edges(sample, bits, known, []).select("edge").orderBy(F.rand(seed=1)).limit(min(64 * tasks, SAMPLES)).collect()
+    some = sorted(bytes(r.edge) for r in some)
     cuts = sorted({some[len(some) * i // tasks][:RANGE_BYTES].rstrip(b"\0") for i in range(1, tasks)}) if some else []
-    laid_out = edges(texts, bits, cuts).repartitionById(tasks, F.col("part")).select("edge", "weight").sortWithinPartitions("edge")
-    found = materialize(paths(laid_out, least), "phrase-paths")
+    laid_out = edges(texts, bits, known, cuts).repartitionById(tasks, F.col("part")).select("edge", "weight").sortWithinPartitions("edge")
+    found = materialize(paths(laid_out, known, least), "phrase-paths")
     inner = found.filter(~F.col("outer")).select("path", "shortest", "n")
     outer = found.filter("outer").groupBy("path", "shortest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     said = F.col("path").cast("string")

@@ -74,17 +74,21 @@ def test_empty_and_small_tables(spark):
 
 def test_flow_is_the_same_however_edges_are_split():
     rng = random.Random(2)
-    words = [b"a", b"b", b"a\x01", b"of", b"the"]
-    rows = Counter()
+    words = [b"a", b"b", b"a\x01", b"of", "é".encode(), b"the", b"\x7f"]
+    known = phrases.Dictionary([(b"en\n", b"the"), (b"de\n", b"a"), (b"en\n", b"a"), (b"en\n", "é".encode())])
+
+    def coded(lang, said):
+        own = known.words[lang]
+        return lang + b"".join(
+            bytes([128, 128 + own.index(w)]) if w in own else b"\r" + w + b" " for w in said)
+    rows, want = Counter(), Counter()
     for _ in range(4_000):
         lang = rng.choice([b"en\n", b"de\n"])
-        rows[lang + b"".join(w + b" " for w in rng.choices(words, [4, 1, 1, 3, 2], k=rng.choice([1, 2, 5, 5, 5])))] += rng.randrange(1, 4)
-    want = Counter()
-    for edge, n in rows.items():
-        lang, said = edge.split(b"\n")
-        parts = said.split(b" ")[:-1]
-        for k in range(1, len(parts) + 1):
-            want[lang, tuple(parts[:k])] += n
+        said, n = tuple(rng.choices(words, [4, 1, 1, 3, 2, 2, 1], k=rng.choice([1, 2, 5, 5, 5]))), rng.randrange(1, 4)
+        assert known.said(coded(lang, said)) == lang + b"".join(w + b" " for w in said)
+        rows[coded(lang, said)] += n
+        for k in range(1, len(said) + 1):
+            want[lang, said[:k]] += n
     least = 30
     want = {p: n for p, n in want.items() if n >= least}
     ordered = sorted(rows.items())
@@ -98,15 +102,15 @@ def test_flow_is_the_same_however_edges_are_split():
                     part = own[at:at + split]
                     found += flow.add([e for e, _ in part], np.array([n for _, n in part]))
                 for path, shortest, n, edge_of_task in found + flow.rest():
-                    lang, said = path.split(b"\n")
-                    parts = tuple(said.split(b" ")[:-1])
+                    lang, said = known.said(path).split(b"\n")
+                    parts = (lang + b"\n", tuple(said.split(b" ")[:-1]))
                     if edge_of_task:
-                        assert shortest == len(parts)
-                        outer[lang, parts] += n
+                        assert shortest == len(parts[1])
+                        outer[parts] += n
                         continue
-                    for k in range(shortest, len(parts) + 1):
-                        assert (lang, parts[:k]) not in got
-                        got[lang, parts[:k]] = n
+                    for k in range(shortest, len(parts[1]) + 1):
+                        assert (parts[0], parts[1][:k]) not in got
+                        got[parts[0], parts[1][:k]] = n
             assert not set(got) & set(outer)
             assert got | {p: n for p, n in outer.items() if n >= least} == want
 
