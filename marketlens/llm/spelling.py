@@ -310,7 +310,7 @@ def _near_of_cell(cell: pd.DataFrame) -> pd.DataFrame:
         if asking == (SHORTER,):
             out.append(pd.DataFrame({"word": y[j], "near": x[i], "n": a.n.to_numpy()[i]}))
     if not out:
-        return pd.DataFrame({"word": [], "near": [], "n": [], "n_near": []})
+        return pd.DataFrame(columns=["word", "near", "n", "n_near"], dtype=object)
     pairs = pd.concat(out).sort_values(["word", "n", "near"], ascending=[True, False, True])
     grouped = pairs.groupby("word", sort=False)
     return grouped.first().assign(n_near=grouped.size()).reset_index()

@@ -87,7 +87,7 @@ def test_no_words(spark):
 
 def test_cells_and_leaves_lose_no_pair(monkeypatch):
     rng = random.Random(4)
-    words = {"".join(rng.choices("abcdé", k=8)) for _ in range(1_500)}
+    words = {"".join(rng.choices("abcé", k=8)) for _ in range(1_500)}
     words |= {"".join(rng.sample("aabbccdd", 8)) for _ in range(300)}  # many of equal counts
     longer = {changed(rng, w) for w in words} | {"aabbccdde"[i:] + "aabbccdde"[:i] for i in range(9)}
     a = sorted(w for w in words if len(w) == 8)
@@ -95,7 +95,7 @@ def test_cells_and_leaves_lose_no_pair(monkeypatch):
     codes_a, codes_b = (spelling.letters([w.encode("latin-1") for w in v], len(v[0])) for v in (a, b))
     for x, y, v, w in ((codes_a, codes_a, a, a), (codes_a, codes_b, a, b)):
         want = {(i, j) for i, p in enumerate(v) for j, q in enumerate(w) if edits(p, q)}
-        assert len(want) > 500
+        assert len(want) > 300
         found = [p for i, j in spelling.near_rows(x, y) for p in zip(i.tolist(), j.tolist())]
         assert len(found) == len(set(found)) and set(found) == want
         # The same through the upper levels of a tree.
