@@ -15,8 +15,9 @@ count. A path also tells which phrases always lie in a longer one.
 Words that cannot be frequent end a run, as no frequent phrase holds them. They are
 found by a table of hashed counts of fixed size: a word may pass it in error, never fail.
 
-In an edge, words of a bounded dictionary are two bytes, all others are spelled out. The
-dictionary comes from a sample of texts; it decides on the size of edges, not on results.
+In an edge, words of a bounded dictionary are one or two bytes, all others are spelled
+out. The dictionary comes from a sample of texts; it decides on the size of edges, not on
+results.
 """
 
 from __future__ import annotations
@@ -45,7 +46,8 @@ BUCKETS = 1 << 22            # of hashed word counts: half a megabyte of bits
 EDGES_PER_TASK = 4_000_000
 MOST_TASKS, SAMPLES = 20_000, 200_000
 SAMPLE_TEXTS = 5_000         # texts that tell frequent words and where ranges begin; no result depends on them
-CODES, ENTRIES = 1 << 14, 1 << 17  # dictionary words of a language, and of all
+ENTRIES = 1 << 17            # dictionary words of all languages
+BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 48             # of an edge that choose its range
 ROWS = 1 << 16               # edges that a task looks at together
 
@@ -55,7 +57,12 @@ _APART = _BREAK.copy()
 _APART[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLANK, _LINE, _SPELLED = 0x20, 0x0A, 0x0D  # none is part of a word: end of a spelled word, end of the language, its start
+# None is part of a word: end of a spelled word, end of the language, start of either.
+_BLANK, _LINE, _SPELLED = 0x20, 0x0A, 0x0D
+# A code is one byte from _ONE on, or one from _TWO on and one of _SECOND.
+_ONE, _TWO = 0x80, 0xA0
+_SECOND = np.array([b for b in range(0x80) if b not in (_BLANK, _LINE, _SPELLED)], np.uint8)
+CODES = _TWO - _ONE + (0x100 - _TWO) * len(_SECOND)  # dictionary words of a language
 
 
 @dataclass
@@ -91,8 +98,8 @@ def pieces(block: Block) -> Pieces:
 
 
 def _prefixes(langs: pa.Array) -> list[bytes]:
-    """What starts every edge of a text: its language, percent-encoded, and a line break."""
-    return [quote(x if x is not None else UNDETERMINED, safe="").encode() + b"\n" for x in langs.to_pylist()]
+    """What starts every edge of a text: its language, percent-encoded, between two marks."""
+    return [b"\r" + quote(x if x is not None else UNDETERMINED, safe="").encode() + b"\n" for x in langs.to_pylist()]
 
 
 def _seed(prefix: bytes) -> int:
@@ -112,7 +119,7 @@ def _buckets(keys: np.ndarray) -> np.ndarray:
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[Block, list[bytes]]]:
     prefixes = _prefixes(batch.column("lang"))
-    for block in blocks(batch.column("text")):
+    for block in blocks(batch.column("text"), BLOCK_BYTES):
         yield block, prefixes[block.first:block.first + block.size]
 
 
@@ -162,7 +169,7 @@ def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 
 
 class Dictionary:
-    """Two-byte codes of some words of each language; both bytes have their high bit set."""
+    """Codes of some words of each language, the first ones shorter."""
 
     def __init__(self, entries: list[tuple[bytes, bytes]]):
         self.words: dict[bytes, list[bytes]] = {}
@@ -208,30 +215,36 @@ class Dictionary:
                 end = edge.index(_BLANK, at)
                 out.append(edge[at + 1:end])
                 at = end + 1
+            elif edge[at] < _TWO:
+                out.append(own[edge[at] - _ONE])
+                at += 1
             else:
-                out.append(own[(edge[at] - 128) * 128 + edge[at + 1] - 128])
+                place = int(np.searchsorted(_SECOND, edge[at + 1]))
+                out.append(own[_TWO - _ONE + (edge[at] - _TWO) * len(_SECOND) + place])
                 at += 2
-        return prefix + b"".join(w + b" " for w in out)
+        return prefix[1:] + b"".join(w + b" " for w in out)
 
 
 def word_ends(data: np.ndarray) -> np.ndarray:
     """Last byte of the language and of every word of some edges, one after the other."""
-    depth = np.cumsum((data == _SPELLED).astype(np.int8) - (data == _BLANK), dtype=np.int32)
-    coded = np.flatnonzero((data >= 128) & (depth == 0))  # a language is ASCII
     ends = (data == _BLANK) | (data == _LINE)
-    ends[coded[1::2]] = True
-    return np.flatnonzero(ends)
+    spelled = np.cumsum((data == _SPELLED).astype(np.int8) - ends, dtype=np.int32) > 0
+    return np.flatnonzero(ends | ~spelled & (data < _TWO))
 
 
 def _encoded(words: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words as an edge holds them, one after the other: bytes and offsets."""
     size = words.end - words.start
-    known = codes >= 0
-    offsets = np.concatenate([[0], np.cumsum(np.where(known, 2, size + 2))])
+    short = _TWO - _ONE
+    held = np.where(codes < 0, size + 2, np.where(codes < short, 1, 2))
+    offsets = np.concatenate([[0], np.cumsum(held)])
     out = np.empty(int(offsets[-1]), np.uint8)
-    at = offsets[:-1][known]
-    out[at], out[at + 1] = 128 + codes[known] // 128, 128 + codes[known] % 128
-    spelled = np.flatnonzero(~known)
+    one = (codes >= 0) & (codes < short)
+    out[offsets[:-1][one]] = _ONE + codes[one]
+    two = np.flatnonzero(codes >= short)
+    at, rest = offsets[two], codes[two] - short
+    out[at], out[at + 1] = _TWO + rest // len(_SECOND), _SECOND[rest % len(_SECOND)]
+    spelled = np.flatnonzero(codes < 0)
     at, size = offsets[spelled], size[spelled]
     out[at], out[at + 1 + size] = _SPELLED, _BLANK
     total = np.cumsum(size)
@@ -461,7 +474,7 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     counts = split.select("lang", "said", "n", F.explode(F.sequence("shortest", longest)).alias("words")).select(
         "lang", F.array_join(F.slice(F.split("said", " "), F.lit(1), F.col("words")), " ").alias("phrase"), "words", "n")
     per_lang = totals.filter("bucket is null").select(
-        F.url_decode(F.substring_index(F.col("prefix").cast("string"), "\n", 1)).alias("lang"), "n")
+        F.url_decode(F.regexp_extract(F.col("prefix").cast("string"), "\\r(.*)\n", 1)).alias("lang"), "n")
     return counts, per_lang
 
 
