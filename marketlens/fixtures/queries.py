@@ -15,7 +15,7 @@ from marketlens.fixtures.workspace import Workspace
 from marketlens.functions import order_stats, scaling, text
 from marketlens.operators import (
     activity, cleaning, clustering, fairness, features, reviews, sales, scoring, segments,
-    sellers, topics, views, ward, warehouse,
+    sellers, sweep, topics, views, ward, warehouse,
 )
 from marketlens.plans import aggregates as aggregate_plan
 from marketlens.plans import staging as staging_plan
@@ -630,7 +630,7 @@ def score_histogram(w):
 
 @query
 def kmeans_sweep(w):
-    return clustering.kmeans_sweep(w.vectors, [f"z_{c}" for c in MODEL_FEATURES])
+    return sweep.kmeans_sweep(w.vectors, [f"z_{c}" for c in MODEL_FEATURES])
 
 
 @query
@@ -720,6 +720,22 @@ def ward_totals(w):
         top.scalar().alias("top_size"))
 
 
+@query
+def ward_hierarchy(w):
+    """All merge heights and the cluster sizes of two cuts, on coordinates of six digits."""
+    points = rounded(ward.ward_input(w.segment_input), 6, *ward.Z_COLUMNS).select("seller_id", *ward.Z_COLUMNS)
+    sellers, leaves = ward.ward_leaves(materialize(points, "ward-points"))
+    leaves = materialize(leaves, "ward-leaves")
+    merges = materialize(ward.ward_merges(leaves), "ward-merges")
+    parts = [rounded(merges.select(F.lit("height").alias("part"), F.col("step").alias("place"), F.col("height").alias("value")), 4, "value")]
+    for k in (7, 12):
+        sizes = ward.label_sellers(sellers, ward.ward_labels(leaves, merges, k)).groupBy("seller_cluster").agg(F.count("*").alias("n"))
+        listed = sizes.agg(F.sort_array(F.collect_list(F.col("n").cast("double")), asc=False).alias("n"))  # k figures
+        parts.append(listed.select(F.lit(f"k{k}").alias("part"), F.posexplode("n").alias("place", "value")).withColumn(
+            "place", F.col("place").cast("long")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def topic_totals(w):
     """Documents labelled and topics named for each review subset."""

@@ -1,14 +1,11 @@
-"""Partition clustering of sellers, its quality indices and feature weights."""
+"""Partition clustering of sellers, the Davies-Bouldin index and feature weights."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,52 +74,6 @@ def davies_bouldin(labelled: DataFrame, columns: Sequence[str], cluster: str = "
     return clusters.select(F.try_divide(total, F.size("all")).alias("davies_bouldin"))
 
 
-def squared_silhouette(labelled: DataFrame, features: str = "features", cluster: str = "cluster") -> float:
-    """Mean silhouette on squared Euclidean distance, in linear time.
-
-    The figure differs from the one on plain distances, which needs all pairs.
-    """
-    return ClusteringEvaluator(
-        featuresCol=features, predictionCol=cluster, metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    ).evaluate(labelled)
-
-
-def kmeans_sweep(
-    vectors: DataFrame, columns: Sequence[str], ks: Sequence[int] = tuple(range(2, 11)),
-    restarts: int = 10, seed: int = 42, parallelism: int = 8,
-) -> DataFrame:
-    """Quality per number of clusters: (k, wcss, silhouette_squared, davies_bouldin).
-
-    Each k keeps the cheapest of ``restarts`` fits; fits run side by side, as in
-    Spark's own parameter search. ``vectors`` is read many times: pass a stored
-    table. ``columns`` are the standardized columns behind the vectors.
-    """
-    spark = vectors.sparkSession
-
-    def fit(job: tuple[int, int]) -> tuple[int, int, KMeansModel]:
-        k, run = job
-        return k, run, _fit(vectors, k, seed + run)
-
-    def judge(k: int) -> tuple[int, float, float, float]:
-        best = min((f for f in fits if f[0] == k), key=lambda f: (f[2].summary.trainingCost, f[1]))[2]
-        labelled = best.transform(vectors)
-        index = davies_bouldin(labelled, columns).first()["davies_bouldin"]
-        return k, best.summary.trainingCost, squared_silhouette(labelled), index
-
-    vectors = vectors.persist()  # one copy for all fits; lost parts are read from the stored table again
-    try:
-        with ThreadPool(parallelism) as pool:
-            jobs = [(k, run) for k in ks for run in range(restarts)]
-            fits = pool.map(inheritable_thread_target(spark)(fit), jobs)
-            rows = pool.map(inheritable_thread_target(spark)(judge), ks)
-    finally:
-        vectors.unpersist()
-    return spark.createDataFrame(
-        rows, "k int, wcss double, silhouette_squared double, davies_bouldin double"
-    )
-
-
 def feature_importance(
     labelled: DataFrame, columns: Sequence[str] = MODEL_FEATURES, cluster: str = "cluster",
     trees: int = 100, seed: int = 42, max_rows: int = 200_000, depth: int = 20,

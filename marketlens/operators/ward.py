@@ -1,29 +1,39 @@
-"""Hierarchical clustering by Ward's criterion.
+"""Hierarchical clustering by Ward's criterion, of all sellers.
 
-Spark reduces the sellers to ``micro_clusters`` weighted centres by a distributed
-k-means, and only those centres, whose number is a parameter, are merged. The
-path is the same for any number of sellers; fewer distinct sellers than centres
-are centres of their own, so a small hierarchy is that of the sellers themselves.
-Every seller gets a label.
+Two clusters that are each other's nearest may be merged at any time without changing
+the hierarchy. So the work goes in rounds: every cluster finds its nearest one, all
+mutual pairs merge, and about a third fewer clusters enter the next round. A cluster
+is its number of sellers and the sums of their features.
+
+Nearest clusters are searched in cells of bounded size. The first answer comes from the
+cluster's own cell; cells whose box might hold a nearer one are asked afterwards. The
+last ``FINISH`` clusters, the top of the hierarchy, are merged in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions.cells import cells_of, plan_cells
 from marketlens.functions.columns import to_number
+from marketlens.functions.numbering import numbered
 from marketlens.functions.scaling import standardize
 from marketlens.operators.features import log_segment_features
 from marketlens.rules import SEGMENT_FEATURES, SEGMENT_LOG_FEATURES
+from marketlens.session import materialize
 
-MICRO_CLUSTERS = 1_000
+CELL = 1_000            # clusters of a cell, about
+MOST_CELLS = 20_000     # boxes of cells that every task knows; beyond, cells grow
+SAMPLE = 20_000         # clusters the cells are cut by; no result depends on them
+FINISH = 256
+PAIRS = 1 << 18         # distances a task looks at together
 CUT_HEIGHT = 20.0
 Z_COLUMNS = tuple(
     f"z_log_{c}" if c in SEGMENT_LOG_FEATURES else f"z_{c}" for c in SEGMENT_FEATURES
@@ -36,22 +46,117 @@ def ward_input(segmentation: DataFrame) -> DataFrame:
     return scaled.withColumns({c: F.coalesce(to_number(F.col(c)), F.lit(0.0)) for c in Z_COLUMNS})
 
 
-def ward_leaves(
-    prepared: DataFrame, columns: Sequence[str] = Z_COLUMNS, micro_clusters: int = MICRO_CLUSTERS,
-    seed: int = 42,
-) -> tuple[DataFrame, DataFrame]:
+def ward_leaves(prepared: DataFrame, columns: Sequence[str] = Z_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """Sellers with their leaf, and the leaves (leaf, weight, columns...).
 
-    ``prepared`` is read several times: pass a stored table.
+    Leaves are the distinct points, numbered from 0 in the order of their values;
+    sellers at one point share a leaf of that weight. ``prepared`` is read twice: pass
+    a stored table without nulls in ``columns``.
     """
     columns = list(columns)
-    assembled = prepared.withColumn("_point", array_to_vector(F.array(*columns)))
-    model = KMeans(k=micro_clusters, seed=seed, featuresCol="_point", predictionCol="leaf").fit(assembled)
-    labelled = model.transform(assembled).drop("_point")
-    leaves = labelled.groupBy("leaf").agg(
-        F.count(F.lit(1)).alias("weight"), *[F.avg(c).alias(c) for c in columns]
-    )
-    return labelled, leaves.select("leaf", "weight", *columns)
+    points = prepared.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
+    leaves = numbered(points, columns, "leaf").select("leaf", "weight", *columns)
+    return prepared.join(leaves.select("leaf", *columns), columns), leaves
+
+
+def _factor(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What squared distances of centres count, for clusters of two sizes; it grows with both."""
+    return 2.0 * (a * b) / (a + b)
+
+
+def _centres(rows: pd.DataFrame, sums: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    weight = rows["weight"].to_numpy(float)
+    return rows[list(sums)].to_numpy(float) / weight[:, None], weight
+
+
+def _best(asking: np.ndarray, weights: np.ndarray, ids: np.ndarray, centres: np.ndarray, sizes: np.ndarray,
+          names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest of ``names`` (ascending) and its squared height for each asking cluster, itself apart; the first on ties."""
+    near, gap = np.full(len(ids), -1, np.int64), np.full(len(ids), np.inf)
+    step = max(1, PAIRS // max(len(names), 1))
+    for at in range(0, len(ids), step):
+        part = slice(at, at + step)
+        total = np.zeros((len(ids[part]), len(names)))
+        for axis in range(centres.shape[1]):
+            total += (asking[part, axis, None] - centres[None, :, axis]) ** 2
+        total *= _factor(weights[part, None], sizes[None])
+        total[ids[part, None] == names[None]] = np.inf
+        place = total.argmin(1)
+        gap[part] = total[np.arange(len(place)), place]
+        near[part] = np.where(np.isfinite(gap[part]), names[place], -1)
+    return near, gap
+
+
+def _round(state: DataFrame, sums: Sequence[str], count: int) -> DataFrame:
+    """One round: (low, high, n, id, left, right, weight, sums..., gap); n = 2 for merged pairs, 1 for the others."""
+    sums = list(sums)
+    known = ["id", "node", "weight", *sums]
+    cells = min(-(-count // CELL), MOST_CELLS)
+    # The size is one more axis, as small and large clusters have different reach.
+    sample = state.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, count // SAMPLE))) == 0).select("weight", *sums).toPandas()
+    centres, weight = _centres(sample, sums)
+    plan, _ = plan_cells(np.column_stack([centres, np.log2(weight)]), cells)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centres, weight = _centres(batch.to_pandas(), sums)
+            cell = pa.array(cells_of(plan, np.column_stack([centres, np.log2(weight)])))
+            yield pa.RecordBatch.from_arrays([cell, *batch.columns], names=["cell", *known])
+
+    def own(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        ids = rows["id"].to_numpy()
+        centres, weight = _centres(rows, sums)
+        near, gap = _best(centres, weight, ids, centres, weight, ids)
+        return rows.assign(near=near, gap=gap)
+
+    schema = "cell int, id long, node long, weight long, " + ", ".join(f"{s} double" for s in sums)
+    found = materialize(state.select(*known).mapInArrow(place, schema).groupBy("cell").applyInPandas(
+        own, schema + ", near long, gap double"), "ward-own")
+    best = found.select(*known, "near", "gap")
+    boxes = found.groupBy("cell").agg(
+        F.min("weight").alias("weight"), *[f(F.col(s) / F.col("weight")).alias(f"{name}_{s}")
+                                           for s in sums for name, f in (("low", F.min), ("high", F.max))]).toPandas()
+    if len(boxes) > 1:  # at most a row per cell
+        numbers, least = boxes["cell"].to_numpy(), boxes["weight"].to_numpy(float)
+        low, high = (boxes[[f"{name}_{s}" for s in sums]].to_numpy(float) for name in ("low", "high"))
+        asked = "target int, id long, weight long, " + ", ".join(f"{s} double" for s in sums)
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = batch.to_pandas()
+                centres, weight = _centres(rows, sums)
+                home, gap = rows["cell"].to_numpy(), rows["gap"].to_numpy()
+                step = max(1, PAIRS // len(numbers))
+                for at in range(0, len(rows), step):
+                    part = slice(at, at + step)
+                    away = np.zeros((len(rows[part]), len(numbers)))
+                    for axis in range(centres.shape[1]):
+                        x = centres[part, axis, None]
+                        away += np.maximum(np.maximum(low[None, :, axis] - x, x - high[None, :, axis]), 0) ** 2
+                    bound = away * _factor(weight[part, None], least[None]) * (1 - 1e-9)
+                    i, j = np.nonzero((bound <= gap[part, None]) & (home[part, None] != numbers[None]))
+                    own = batch.slice(at, step).take(pa.array(i)).select(["id", "weight", *sums])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers[j].astype(np.int32)), *own.columns], names=["target", "id", "weight", *sums])
+
+        def answer(asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("id")
+            x, weight = _centres(asking, sums)
+            near, gap = _best(x, weight, asking["id"].to_numpy(), *_centres(rows, sums), rows["id"].to_numpy())
+            return pd.DataFrame({"id": asking["id"], "near": near, "gap": gap})
+
+        elsewhere = found.select("cell", "id", "weight", *sums, "gap").mapInArrow(ask, asked).groupBy("target").cogroup(
+            found.select("cell", "id", "weight", *sums).groupBy("cell")).applyInPandas(answer, "id long, near long, gap double")
+        empty = [F.lit(None).cast("long").alias(c) for c in ("node", "weight")] + [F.lit(None).cast("double").alias(s) for s in sums]
+        best = best.unionByName(elsewhere.select("id", "near", "gap", *empty))
+    ends = F.struct("gap", F.least("id", "near").alias("low"), F.greatest("id", "near").alias("high"))
+    # Of a cluster's answers only its own row holds its figures.
+    nearest = best.groupBy("id").agg(
+        F.min(F.when(F.col("near") >= 0, ends)).alias("best"), *[F.max(c).alias(c) for c in ("node", "weight", *sums)])
+    return nearest.groupBy("best.low", "best.high").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min_by("node", "id").alias("left"),
+        F.max_by("node", "id").alias("right"), *[F.sum(c).alias(c) for c in ("weight", *sums)], F.min("best.gap").alias("gap"))
 
 
 def _ward_pairs(points: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, float]]:
@@ -67,7 +172,7 @@ def _ward_pairs(points: np.ndarray, weights: np.ndarray) -> list[tuple[int, int,
         if not chain:
             chain.append(int(np.flatnonzero(alive)[0]))
         tip = chain[-1]
-        gap = ((centre - centre[tip]) ** 2).sum(axis=1) * 2 * weight * weight[tip] / (weight + weight[tip])
+        gap = ((centre - centre[tip]) ** 2).sum(axis=1) * _factor(weight, weight[tip])
         gap[~alive] = np.inf
         gap[tip] = np.inf
         nearest = int(gap.argmin())
@@ -84,72 +189,87 @@ def _ward_pairs(points: np.ndarray, weights: np.ndarray) -> list[tuple[int, int,
     return merges
 
 
-def _merge_table(leaves: pd.DataFrame) -> pd.DataFrame:
-    leaves = leaves.sort_values("leaf")
-    ids = leaves["leaf"].to_numpy()
-    weights = leaves["weight"].to_numpy()
-    points = leaves.drop(columns=["leaf", "weight"]).to_numpy()
-    pairs = sorted(_ward_pairs(points, weights), key=lambda m: m[2])
-    # Slots become cluster numbers in order of height: leaves keep theirs, the
-    # cluster of step s is (number of leaves + s).
-    first_free = int(ids.max()) + 1
-    root = list(range(len(ids)))
-    number = [int(i) for i in ids]
-    size = [int(w) for w in weights]
-
-    def find(slot: int) -> int:
-        while root[slot] != slot:
-            root[slot] = root[root[slot]]
-            slot = root[slot]
-        return slot
-
-    rows = []
-    for step, (a, b, height) in enumerate(pairs):
-        a, b = find(a), find(b)
-        left, right = sorted((number[a], number[b]))
-        size[b] += size[a]
-        root[a] = b
-        number[b] = first_free + step
-        rows.append((step, left, right, number[b], height, size[b]))
-    return pd.DataFrame(rows, columns=["step", "left", "right", "merged", "height", "size"])
+MERGES = "node long, left long, right long, height double, size long"
+
+
+def _finish(rows: pd.DataFrame, sums: Sequence[str]) -> pd.DataFrame:
+    """Merges of the last clusters: the absorbed cluster's id names a merge, as in the rounds."""
+    centres, weight = _centres(rows, sums)
+    ids, node, size = rows["id"].tolist(), rows["node"].tolist(), rows["weight"].tolist()
+    out = []
+    for a, b, height in _ward_pairs(centres, weight):
+        low, high = sorted((a, b), key=lambda slot: ids[slot])
+        out.append((ids[high], node[low], node[high], height, size[a] + size[b]))
+        node[b], size[b], ids[b] = ids[high], size[a] + size[b], ids[low]
+    return pd.DataFrame(out, columns=["node", "left", "right", "height", "size"])
 
 
 def ward_merges(leaves: DataFrame, cut_height: float = CUT_HEIGHT) -> DataFrame:
     """Merge history: (step, left, right, merged, height, size, above_cut), lowest first.
 
-    Children that no step merged are leaves. ``leaves`` must come from
-    ``ward_leaves``: one row per micro-cluster at most.
+    Leaves keep their numbers, the cluster of step s is (number of leaves + s), and
+    ``left`` is the smaller of the two. ``leaves`` must come from ``ward_leaves`` and be
+    stored. No rows for fewer than two leaves.
     """
-    history = leaves.groupBy(F.lit(0).alias("all")).applyInPandas(
-        lambda pdf: _merge_table(pdf.drop(columns=["all"], errors="ignore")),
-        "step int, left int, right int, merged int, height double, size long",
-    )
-    return history.withColumn("above_cut", F.col("height") > cut_height)
+    columns = [c for c in leaves.columns if c not in ("leaf", "weight")]
+    sums = [f"s{i}" for i in range(len(columns))]
+    # A cluster is named by its smallest leaf; its node by that leaf (below zero), or by the leaf name that its
+    # merge took out of use.
+    state = leaves.select(
+        F.col("leaf").alias("id"), (-1 - F.col("leaf")).alias("node"), "weight",
+        *[(F.col(c) * F.col("weight")).alias(s) for c, s in zip(columns, sums)])
+    total = count = leaves.count()
+    rounds = []
+    while count > FINISH:
+        done = materialize(_round(state, sums, count), "ward-round")
+        merged = F.col("n") == 2
+        rounds.append(done.filter(merged).select(
+            F.col("high").alias("node"), "left", "right", F.sqrt("gap").alias("height"), F.col("weight").alias("size")))
+        state = done.select("id", F.when(merged, F.col("high")).otherwise(F.col("left")).alias("node"), "weight", *sums)
+        count = done.count()
+    rounds.append(state.groupBy(F.lit(0).alias("all")).applyInPandas(
+        lambda pdf: _finish(pdf, sums), MERGES))
+    merges = numbered(reduce(DataFrame.unionByName, rounds), ["height", "size", "node"], "step")
+    merges = materialize(merges, "ward-steps")
+    names = merges.select("node", (F.col("step") + total).alias("number"))
+
+    def number(side: str) -> DataFrame:
+        return names.select(F.col("node").alias(side), F.col("number").alias(f"{side}_number"))
 
+    def numbered_side(side: str):
+        return F.when(F.col(side) < 0, -1 - F.col(side)).otherwise(F.col(f"{side}_number"))
 
-def _cut(leaves: pd.DataFrame, history: pd.DataFrame, k: int) -> pd.DataFrame:
-    members = {int(leaf): [int(leaf)] for leaf in leaves["leaf"]}
-    for row in history.sort_values("step").head(max(len(members) - k, 0)).itertuples():
-        members[row.merged] = members.pop(row.left) + members.pop(row.right)
-    groups = sorted(members.values(), key=min)
-    rows = [(leaf, i) for i, group in enumerate(groups) for leaf in group]
-    return pd.DataFrame(rows, columns=["leaf", "seller_cluster"])
+    left, right = numbered_side("left"), numbered_side("right")
+    return merges.join(number("left"), "left", "left").join(number("right"), "right", "left").select(
+        "step", F.least(left, right).alias("left"), F.greatest(left, right).alias("right"),
+        (F.col("step") + total).alias("merged"), "height", "size", (F.col("height") > cut_height).alias("above_cut"))
 
 
 def ward_labels(leaves: DataFrame, merges: DataFrame, k: int = 7) -> DataFrame:
     """Cluster of every leaf when the hierarchy is cut into ``k``: (leaf, seller_cluster).
 
-    Clusters are numbered by their smallest leaf. ``leaves`` and ``merges`` are of
-    ``ward_leaves`` and ``ward_merges``, at most one row per micro-cluster each.
+    Clusters are numbered by their smallest leaf. ``leaves`` and ``merges`` are the
+    stored results of ``ward_leaves`` and ``ward_merges``. Every node points to the
+    cluster it was merged into, and pointers are doubled until none moves.
     """
-    every = F.lit(0).alias("all")
-    steps = merges.select("step", "left", "right", "merged").groupBy(every)
-    return leaves.select("leaf").groupBy(every).cogroup(steps).applyInPandas(
-        lambda own, history: _cut(own, history, k), "leaf int, seller_cluster int"
-    )
+    kept = max(leaves.count() - k, 0)
+    low = merges.filter(F.col("step") < kept)
+    parents = low.select(F.explode(F.array("left", "right")).alias("child"), F.col("merged").alias("top"))
+    pointers, moved = materialize(parents, "ward-pointers"), True
+    while moved:
+        onward = pointers.select(F.col("child").alias("top"), F.col("top").alias("next"))
+        pointers = materialize(pointers.join(onward, "top", "left").select(
+            "child", F.coalesce("next", "top").alias("top"), F.col("next").isNotNull().alias("moved")), "ward-pointers")
+        moved = not pointers.filter("moved").isEmpty()
+    found = leaves.select("leaf").join(pointers.select(F.col("child").alias("leaf"), "top"), "leaf", "left").select(
+        "leaf", F.coalesce("top", "leaf").alias("top"))
+    clusters = found.groupBy("top").agg(F.min("leaf").alias("first"))  # k rows
+    order = clusters.agg(F.sort_array(F.collect_list("first")).alias("order"))
+    places = clusters.withColumn("order", order.scalar()).select(
+        "top", (F.array_position("order", F.col("first")) - 1).cast("int").alias("seller_cluster"))
+    return found.join(F.broadcast(places), "top").select("leaf", "seller_cluster")
 
 
 def label_sellers(sellers: DataFrame, labels: DataFrame) -> DataFrame:
     """Sellers with the cluster of their leaf; every leaf has one."""
-    # One row per leaf, at most one per micro-cluster.
-    return sellers.join(F.broadcast(labels), "leaf")
+    return sellers.join(labels, "leaf")

@@ -38,12 +38,11 @@ class Segments:
     leaves: DataFrame
 
 
-def segmented_sellers(tiered: DataFrame, segmentation: DataFrame, k: int = 7,
-                      micro_clusters: int = ward.MICRO_CLUSTERS) -> Segments:
+def segmented_sellers(tiered: DataFrame, segmentation: DataFrame, k: int = 7) -> Segments:
     """Hierarchical segments of scored sellers."""
     described = segments.segmentation_input(tiered, segmentation)
     prepared = materialize(ward.ward_input(materialize(described, "segment-input")), "ward-input")
-    labelled, leaves = ward.ward_leaves(prepared, micro_clusters=micro_clusters)
+    labelled, leaves = ward.ward_leaves(prepared)
     labelled = materialize(labelled, "ward-sellers")
     leaves = materialize(leaves, "ward-leaves")
     merges = materialize(ward.ward_merges(leaves), "ward-merges")

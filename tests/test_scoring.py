@@ -100,14 +100,6 @@ def vectors(spark):
     return materialize(clustering.standardized_vectors(df, MODEL_FEATURES), "test-vectors")
 
 
-def test_kmeans_sweep(spark, vectors):
-    columns = [f"z_{c}" for c in MODEL_FEATURES]
-    out = clustering.kmeans_sweep(vectors, columns, ks=(2, 3, 5), restarts=3).orderBy("k").collect()
-    assert [r.k for r in out] == [2, 3, 5]
-    assert out[0].wcss > out[1].wcss > out[2].wcss > 0
-    assert all(-1 <= r.silhouette_squared <= 1 and r.davies_bouldin > 0 for r in out)
-
-
 def test_kmeans_cost_equals_recomputed_cost_and_importances_sum_to_one(spark, vectors):
     columns = [f"z_{c}" for c in MODEL_FEATURES]
     labelled, model = clustering.kmeans_label(vectors, 4)

@@ -24,11 +24,11 @@ def naive_ward(points, weights):
     return heights
 
 
-def segment(spark, points, k, **options):
+def segment(spark, points, k):
     data = pd.DataFrame(points, columns=["x", "y"])
     data["seller_id"] = [f"s{i:06}" for i in range(len(data))]
     prepared = materialize(spark.createDataFrame(data), "test-ward")
-    sellers, leaves = ward.ward_leaves(prepared, ["x", "y"], **options)
+    sellers, leaves = ward.ward_leaves(prepared, ["x", "y"])
     leaves = materialize(leaves, "test-leaves")
     merges = materialize(ward.ward_merges(leaves, cut_height=5.0), "test-merges")
     labelled = ward.label_sellers(sellers, ward.ward_labels(leaves, merges, k))
@@ -77,15 +77,45 @@ def test_all_equal_sellers_share_one_cluster(spark):
     assert merges.empty and labelled["seller_cluster"].tolist() == [0] * 5
 
 
-@pytest.mark.parametrize("each", [60, 15_000])
-def test_many_sellers_are_compressed_and_all_labelled(spark, each):
+def test_rounds_give_the_hierarchy_of_all_pairs(spark):
     rng = np.random.default_rng(1)
     centres = np.array([(0, 0), (50, 0), (0, 50)])
-    points = np.concatenate([c + rng.normal(size=(each, 2)) for c in centres])
-    merges, labelled = segment(spark, points, 3, micro_clusters=20)
-    assert len(labelled) == 3 * each and merges["size"].iloc[-1] == 3 * each
-    assert len(merges) < 20 and merges["height"].is_monotonic_increasing
-    assert all(labelled["seller_cluster"][i:i + each].nunique() == 1 for i in (0, each, 2 * each))
+    points = np.concatenate([c + rng.normal(size=(1_200, 2)) for c in centres] + [rng.normal(size=(400, 2)) * 200])
+    points = np.concatenate([points, points[:500]])  # copies
+    merges, labelled = segment(spark, points, 12)
+    leaves, weights = np.unique(points, axis=0, return_counts=True)
+    want = sorted(ward._ward_pairs(leaves, weights), key=lambda m: m[2])
+    assert merges["height"].tolist() == pytest.approx([h for _, _, h in want])
+    assert merges["size"].iloc[-1] == len(points) and (merges["step"] == np.arange(len(leaves) - 1)).all()
+    # The history builds up: each row joins two clusters that are there, of the stated sizes.
+    size = dict(enumerate(weights.tolist()))
+    for row in merges.itertuples():
+        assert row.left < row.right < row.merged == len(leaves) + row.step
+        size[row.merged] = size.pop(row.left) + size.pop(row.right)
+        assert size[row.merged] == row.size
+    # Cutting by hand gives the same groups.
+    group = list(range(len(leaves)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    for a, b, _ in want[:len(leaves) - 12]:
+        group[find(a)] = find(b)
+    _, places = np.unique(points, axis=0, return_inverse=True)
+    by_hand = [find(int(i)) for i in places]
+    pairs = set(zip(by_hand, labelled["seller_cluster"]))
+    assert len(pairs) == 12 == labelled["seller_cluster"].nunique()
+
+
+def test_cells_ask_each_other(spark, monkeypatch):
+    monkeypatch.setattr(ward, "CELL", 20)
+    monkeypatch.setattr(ward, "FINISH", 2)
+    rng = np.random.default_rng(2)
+    points = np.concatenate([rng.normal(size=(150, 2)), 3 + rng.exponential(size=(150, 2)) ** 2, np.round(rng.normal(size=(60, 2)))])
+    merges, _ = segment(spark, points, 3)
+    leaves, weights = np.unique(points, axis=0, return_counts=True)
+    assert merges["height"].tolist() == pytest.approx(sorted(h for _, _, h in ward._ward_pairs(leaves, weights)))
 
 
 def test_undefined_feature_counts_as_average(spark):
