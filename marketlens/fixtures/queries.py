@@ -15,7 +15,7 @@ from marketlens.fixtures.workspace import Workspace
 from marketlens.functions import order_stats, scaling, text
 from marketlens.operators import (
     activity, cleaning, clustering, fairness, features, reviews, sales, scoring, segments,
-    sellers, sweep, topics, views, ward, warehouse,
+    sellers, sweep, topic_model, topics, views, ward, warehouse,
 )
 from marketlens.plans import aggregates as aggregate_plan
 from marketlens.plans import staging as staging_plan
@@ -377,6 +377,44 @@ def model_vocabulary(w):
     return topics.vocabulary(_prepared_documents(w), "cleaned", min_df=25, max_df=0.9)
 
 
+def _bags(w):
+    """Index and bags of words of the documents, under the vocabulary of the complaint model."""
+    prepared = _prepared_documents(w)
+    index = topics.term_index(topics.vocabulary(prepared, "cleaned", min_df=25, max_df=0.9))
+    return index, topics.bag_of_words(prepared, "cleaned", index, document="doc_id")
+
+
+@query
+def term_numbers(w):
+    return _bags(w)[0].select("term", "term_id")
+
+
+@query
+def bag_of_words(w):
+    return _bags(w)[1]
+
+
+@query
+def sparse_vectors(w):
+    vectors = topics.vectorize(w.source("documents").select("doc_id"), _bags(w)[1], "doc_id")
+    joined = F.zip_with("term_ids", "term_counts", lambda i, n: F.concat_ws(":", i, n))
+    return vectors.select("doc_id", F.array_join(joined, " ").alias("vector"))
+
+
+@query
+def topic_step_given(w):
+    """Document weights after one step under given topics, whose word weights are whole numbers."""
+    index, bags = _bags(w)
+    words = materialize(index.select("term_id", *[
+        (F.lit(1.0) + (F.col("term_id") * 7 + 13 * i) % 11).alias(f"w{i}") for i in range(4)]), "given-topics")
+    totals = list(words.agg(*[F.sum(f"w{i}") for i in range(4)]).first())
+    model = topic_model.TopicModel(words, totals, 0.25, [])
+    bags = materialize(bags.withColumnRenamed("doc_id", "document"), "given-bags")
+    weights = topic_model.document_weights(bags, model, steps=1)
+    return rounded(weights.select(F.col("document").alias("doc_id"), *[
+        F.col("topic_weights")[i].alias(f"topic_{i + 1}") for i in range(4)]), 4, *[f"topic_{i + 1}" for i in range(4)])
+
+
 @query
 def limited_vocabulary(w):
     cleaned = w.source("documents").select(text.normalize_unicode(F.col("text")).alias("cleaned"))

@@ -1,7 +1,9 @@
-"""Cells of space with about equally many points, from nested halves of a sample."""
+"""Cells of space, from nested cuts of a sample of points."""
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 
@@ -20,6 +22,37 @@ def plan_cells(points: np.ndarray, cells: int, first: int = 0) -> tuple[tuple, i
     return (axis, cut, low, high), first
 
 
+def plan_tight_cells(points: np.ndarray, cells: int) -> tuple:
+    """Cells that leave little squared distance to their means: always the one with most is cut, at its mean."""
+    def waste(rows: np.ndarray) -> float:
+        return float(points[rows].var(0).sum() * len(rows)) if len(rows) else 0.0
+
+    every = np.arange(len(points))
+    cuts: dict[int, tuple[int, float, int, int]] = {}  # node: (axis, cut, low node, high node)
+    queue, nodes, leaves = [(-waste(every), 0, every)], 1, 1
+    while queue and leaves < cells:
+        less, node, rows = heapq.heappop(queue)
+        if less >= 0:
+            break
+        axis = int(points[rows].var(0).argmax())
+        cut = float(points[rows, axis].mean())
+        below = points[rows, axis] <= cut
+        if below.all() or not below.any():  # equal but for rounding
+            continue
+        cuts[node] = (axis, cut, nodes, nodes + 1)
+        for i, part in enumerate((rows[below], rows[~below])):
+            heapq.heappush(queue, (-waste(part), nodes + i, part))
+        nodes, leaves = nodes + 2, leaves + 1
+    built: dict[int, tuple] = {}
+    for node in range(nodes - 1, -1, -1):  # children have larger numbers
+        if node in cuts:
+            axis, cut, low, high = cuts[node]
+            built[node] = (axis, cut, built.pop(low), built.pop(high))
+        else:
+            built[node] = (node,)
+    return built[0]
+
+
 def cells_of(plan: tuple, points: np.ndarray) -> np.ndarray:
     """Cell number of each point."""
     out = np.zeros(len(points), np.int32)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.cells import cells_of, plan_cells
+from marketlens.functions.cells import cells_of, plan_tight_cells
 from marketlens.session import materialize
 
 SAMPLE = 4_096           # points that starts and cells are made from
@@ -276,13 +276,13 @@ def silhouettes(points: DataFrame, columns: Sequence[str], labels: Sequence[str]
     """
     columns, labels = list(columns), list(labels)
     clusters = cluster_sums(points, columns, labels)
-    sample = sample_points(points, columns, max(SAMPLE, 4 * FIRST_CELLS))
+    sample = sample_points(points, columns)
     out: dict[int, tuple[float, float]] = {}
     cells = FIRST_CELLS
     while True:
-        if 4 * cells > len(sample):
-            sample = sample_points(points, columns, 4 * cells)
-        plan, _ = plan_cells(sample, cells)
+        if 8 * cells > SAMPLE:
+            sample = sample_points(points, columns, 8 * cells)
+        plan = plan_tight_cells(sample, cells)
         open_ = [i for i in range(len(labels)) if i not in out or out[i][1] > error]
         for i, found in zip(open_, _bounded(points, columns, [labels[i] for i in open_], plan, [clusters[i] for i in open_])):
             out[i] = found
@@ -335,7 +335,7 @@ def _bounded(points: DataFrame, columns: list[str], labels: list[str], plan: tup
         if len(own.n) < 2:
             out.append((0.0, 0.0))
         else:
-            out.append(((row.lower + row.upper) / 2 / row.n, (row.upper - row.lower) / 2 / row.n))
+            out.append((float(row.lower + row.upper) / 2 / float(row.n), float(row.upper - row.lower) / 2 / float(row.n)))
     return out
 
 

@@ -1,15 +1,16 @@
-"""Word counts and topic models over prepared text."""
+"""Word counts, bags of words and topic shares over prepared text."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
+from marketlens.functions.numbering import numbered
 from marketlens.functions.text import model_tokens, tokens, without
 from marketlens.rules import SHOPPING_STOP_WORDS
 
@@ -66,50 +67,40 @@ def vocabulary(
     return terms
 
 
-def vectorize(
-    df: DataFrame, text: str, terms: DataFrame, stop_words: Sequence[str] = (),
-    into: str = "features",
-) -> tuple[DataFrame, CountVectorizerModel]:
-    """Bag-of-words vectors over ``terms``.
-
-    The vocabulary is part of the model object, as in every Spark vocabulary
-    model; ``max_features`` of ``vocabulary`` is what bounds it.
-    """
-    ordered = terms.select("term", "term_frequency").orderBy(F.desc("term_frequency"), "term")
-    words = [r.term for r in ordered.collect()]
-    if not words:
-        raise ValueError("no terms remain, lower min_df or raise max_df")
-    model = CountVectorizerModel.from_vocabulary(words, inputCol="_words", outputCol=into)
-    prepared = df.withColumn("_words", without(model_tokens(F.col(text)), stop_words))
-    return model.transform(prepared).drop("_words"), model
+def term_index(terms: DataFrame) -> DataFrame:
+    """Terms with their number from 0, in alphabetical order: (term, ..., term_id)."""
+    return numbered(terms, ["term"], "term_id")
 
 
-def fit_topics(vectors: DataFrame, topics: int, seed: int = 42, iterations: int = 20) -> LDAModel:
-    """Topic model by expectation maximisation: every iteration covers all documents.
+def bag_of_words(
+    df: DataFrame, text: str, index: DataFrame, stop_words: Sequence[str] = (), document: str = "document",
+) -> DataFrame:
+    """Occurrences of the indexed terms in every document: (document, term_id, count).
 
-    Priors are symmetric: 50 / topics + 1 for documents, 1.1 for words, the
-    method's usual ones. Documents without words take no part in the fit.
+    A document without indexed terms has no rows. Words are counted before they meet the
+    index, so a frequent word is one row per document.
     """
-    return LDA(
-        k=topics, seed=seed, maxIter=iterations, optimizer="em", docConcentration=[50.0 / topics + 1],
-        topicConcentration=1.1, featuresCol="features", topicDistributionCol="topic_weights",
-    ).fit(vectors)
+    words = df.select(document, F.explode(without(model_tokens(F.col(text)), stop_words)).alias("term"))
+    counted = words.groupBy(document, "term").agg(F.count(F.lit(1)).alias("count"))
+    return counted.join(index.select("term", "term_id"), "term").select(document, "term_id", "count")
+
+
+def vectorize(df: DataFrame, bags: DataFrame, document: str = "document") -> DataFrame:
+    """Add the sparse vector of each document: ``term_ids``, rising, and ``term_counts``; empty without terms."""
+    entries = F.sort_array(F.collect_list(F.struct("term_id", "count")))
+    found = bags.groupBy(document).agg(entries.alias("_entries"))
 
+    def part(name: str, kind: str):
+        return F.coalesce(F.col(f"_entries.{name}"), F.array().cast(f"array<{kind}>"))
 
-def topic_top_words(model: LDAModel, words: CountVectorizerModel, count: int = 10) -> DataFrame:
-    """Heaviest words per topic: (topic, position, term, weight), topics from 1."""
-    heavy = model.describeTopics(count).select(
-        (F.col("topic") + 1).alias("topic"),
-        F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "entry"),
-    ).collect()  # ``count`` rows per topic
-    rows = [(r.topic, r.place + 1, words.vocabulary[r.entry.termIndices], r.entry.termWeights) for r in heavy]
-    return SparkSession.getActiveSession().createDataFrame(
-        rows, "topic int, position int, term string, weight double")
+    return df.join(found, document, "left").withColumns(
+        {"term_ids": part("term_id", "bigint"), "term_counts": part("count", "bigint")}).drop("_entries")
 
 
 def dominant_topic(weighted: DataFrame, weights: str = "topic_weights") -> DataFrame:
-    """Add the heaviest topic, from 1; the first one on ties and for empty text."""
-    array = vector_to_array(F.col(weights))
+    """Add the heaviest topic, from 1; the first one on ties and for empty text. Weights are an array or a vector."""
+    kind = weighted.schema[weights].dataType
+    array = F.col(weights) if isinstance(kind, ArrayType) else vector_to_array(F.col(weights))
     return weighted.withColumn(
         "dominant_topic", F.array_position(array, F.array_max(array)).cast("int")
     )

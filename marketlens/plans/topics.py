@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_ascii, normalize_unicode, remove_stopwords
-from marketlens.operators import reviews, topics
+from marketlens.operators import reviews, topic_model, topics
 from marketlens.rules import BAD_TOPICS, GOOD_TOPICS, NEUTRAL_TOPICS, TopicRules
 from marketlens.session import materialize
 from marketlens.sources.tables import Lake
@@ -36,17 +36,24 @@ def praise_text(text: str = reviews.TEXT) -> Column:
 
 def find_topics(comments: DataFrame, text: Column, rules: TopicRules, seed: int = 42) -> TopicResult:
     """Fit a topic model on prepared comments and label every comment."""
-    prepared = materialize(reviews.with_clean_text(comments, text), "topic-text")
-    terms = topics.vocabulary(prepared, "cleaned", rules.min_df, rules.max_df,
-                              rules.stop_words, rules.max_features)
-    vectors, words = topics.vectorize(prepared, "cleaned", terms, rules.stop_words)
-    vectors = materialize(vectors, "topic-vectors")
-    model = topics.fit_topics(vectors, rules.topics, seed)
-    documents = materialize(
-        topics.dominant_topic(model.transform(vectors)).drop("features"), "topic-documents")
+    prepared = materialize(reviews.with_clean_text(comments, text).withColumn(
+        "_document", F.monotonically_increasing_id()), "topic-text")
+    index = topics.term_index(topics.vocabulary(
+        prepared, "cleaned", rules.min_df, rules.max_df, rules.stop_words, rules.max_features))
+    index = materialize(index, "topic-terms")
+    if index.isEmpty():
+        raise ValueError("no terms remain, lower min_df or raise max_df")
+    bags = materialize(topics.bag_of_words(
+        prepared, "cleaned", index, rules.stop_words, "_document").withColumnRenamed("_document", "document"), "topic-bags")
+    model = topic_model.fit_topics(bags, rules.topics, seed)
+    weights = topic_model.document_weights(bags, model).withColumnRenamed("document", "_document")
+    even = F.array(*[F.lit(1.0 / rules.topics)] * rules.topics)  # a comment without terms leans to no topic
+    weighted = prepared.join(weights, "_document", "left").drop("_document").withColumn(
+        "topic_weights", F.coalesce("topic_weights", even))
+    documents = materialize(topics.dominant_topic(weighted), "topic-documents")
     return TopicResult(
         documents,
-        topics.topic_top_words(model, words),
+        topic_model.top_words(model, index),
         topics.topic_distribution(documents, rules.names),
     )
 
