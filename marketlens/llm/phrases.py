@@ -7,8 +7,9 @@ the flow out of a node, plus the runs that end there with their piece, is how of
 the node occurs, and so on down to single words: no shorter run is counted by itself.
 
 Edges are laid out over tasks by ranges of their bytes and sorted, so that the flow of
-a node is a run of neighbouring rows and a frequent node may lie in several tasks; what
-touches a task's first or last row is summed afterwards. A node whose whole flow leaves
+a node is a run of neighbouring edges and a frequent node may lie in several tasks; what
+touches a task's first or last edge is summed afterwards. They travel packed, a row per
+block of text and range. A node whose whole flow leaves
 by one edge is compacted into that path: one row stands for all its prefixes of equal
 count. A path also tells which phrases always lie in a longer one.
 
@@ -23,6 +24,7 @@ results.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,8 +45,8 @@ MIN_COUNT = 100
 TOP = 2_000
 UNDETERMINED = "und"
 BUCKETS = 1 << 22            # of hashed word counts: half a megabyte of bits
-EDGES_PER_TASK = 4_000_000
-MOST_TASKS, SAMPLES = 20_000, 200_000
+EDGES_PER_TASK = 2_000_000
+MOST_TASKS, SAMPLES = 100_000, 1_000_000  # beyond, tasks hold more edges
 SAMPLE_TEXTS = 5_000         # texts that tell frequent words and where ranges begin; no result depends on them
 ENTRIES = 1 << 17            # dictionary words of all languages
 BLOCK_BYTES = 4 << 20
@@ -60,7 +62,7 @@ _LOWER[65:91] += 32
 # None is part of a word: end of a spelled word, end of the language, start of either.
 _BLANK, _LINE, _SPELLED = 0x20, 0x0A, 0x0D
 # A code is one byte from _ONE on, or one from _TWO on and one of _SECOND.
-_ONE, _TWO = 0x80, 0xA0
+_ONE, _TWO = 0x80, 0x88
 _SECOND = np.array([b for b in range(0x80) if b not in (_BLANK, _LINE, _SPELLED)], np.uint8)
 CODES = _TWO - _ONE + (0x100 - _TWO) * len(_SECOND)  # dictionary words of a language
 
@@ -319,42 +321,86 @@ def dictionary(sample: DataFrame) -> Dictionary:
     return Dictionary([(bytes(r.prefix), bytes(r.word)) for r in most.collect()])
 
 
-def edges(texts: DataFrame, bits: np.ndarray, known: Dictionary, cuts: list[bytes]) -> DataFrame:
-    """(part, edge, weight): runs of words with their language in front, summed per block of text."""
-    starts = np.array(cuts, f"S{RANGE_BYTES}")
+PACKED = "part int, prefix binary, n int, edges binary, sizes binary, weights binary"
+
+
+def _whole(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max()))).tobytes()
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64)
+
+
+def edges(texts: DataFrame, bits: np.ndarray, known: Dictionary, cuts: dict[bytes, list[bytes]]) -> DataFrame:
+    """The edges of all texts, those of a block, language and range of ``cuts`` together in a row."""
+    parts, total = {}, 0
+    for prefix, own in cuts.items():
+        parts[prefix] = (np.array(own, f"S{RANGE_BYTES}"), total)
+        total += len(own)
+
+    def range_of(prefix: bytes) -> tuple[np.ndarray, int]:
+        return parts.get(prefix) or (np.zeros(0, f"S{RANGE_BYTES}"), zlib.crc32(prefix) % max(total, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(bits, bitorder="little").astype(bool)
         for batch in batches:
             for block, prefixes in _texts(batch):
                 for prefix, data, start, size, weight in _edges(block, prefixes, frequent, known):
-                    for at in range(0, len(start), ROWS):
-                        yield _edge_batch(prefix, data, start[at:at + ROWS], size[at:at + ROWS], weight[at:at + ROWS], starts)
+                    yield _packed(prefix, data, start, size, weight, *range_of(prefix))
 
-    return texts.mapInArrow(run, "part int, edge binary, weight long")
+    return texts.mapInArrow(run, PACKED)
 
 
-def _edge_batch(prefix: bytes, data: np.ndarray, start: np.ndarray, size: np.ndarray, weight: np.ndarray,
-                starts: np.ndarray) -> pa.RecordBatch:
-    whole = size + len(prefix)
-    offsets = np.concatenate([[0], np.cumsum(whole)])
-    out = np.empty(int(offsets[-1]), np.uint8)
-    at = np.arange(int(size.sum())) + np.repeat(np.arange(1, len(size) + 1) * len(prefix), size)
-    out[at] = _slices(data, start, size)
-    out[offsets[:-1, None] + np.arange(len(prefix))] = np.frombuffer(prefix, np.uint8)
+def _packed(prefix: bytes, data: np.ndarray, start: np.ndarray, size: np.ndarray, weight: np.ndarray,
+            starts: np.ndarray, first: int) -> pa.RecordBatch:
+    part = np.zeros(len(size), np.int64)
     if len(starts):
-        padded = np.concatenate([out, np.zeros(RANGE_BYTES, np.uint8)])
-        head = padded[offsets[:-1, None] + np.arange(RANGE_BYTES)]
-        head[np.arange(RANGE_BYTES) >= whole[:, None]] = 0
-        part = np.searchsorted(starts, head.view(f"S{RANGE_BYTES}").ravel(), "right")
-    else:
-        part = np.zeros(len(size), np.int64)
-    made = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out)])
-    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), made, pa.array(weight, pa.int64())], names=["part", "edge", "weight"])
+        for at in range(0, len(size), ROWS):
+            head = _heads(data, start[at:at + ROWS], size[at:at + ROWS], RANGE_BYTES)
+            # Edges before the first start of a language are in its first range, too.
+            part[at:at + ROWS] = np.maximum(np.searchsorted(starts, head.view(f"S{RANGE_BYTES}").ravel(), "right") - 1, 0)
+    order = np.argsort(part, kind="stable")
+    part, start, size, weight = part[order], start[order], size[order], weight[order]
+    bounds = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    rows = []
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        own = slice(low, high)
+        rows.append((first + int(part[low]), prefix, high - low, _slices(data, start[own], size[own]).tobytes(),
+                     _whole(size[own]), _whole(weight[own])))
+    kinds = [pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)],
+                                      names=["part", "prefix", "n", "edges", "sizes", "weights"])
+
+
+def _heads(data: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """The first bytes of some spans, a row each, filled up with zeros."""
+    padded = np.append(data, np.zeros(width, np.uint8))
+    head = padded[start[:, None] + np.arange(width)]
+    head[np.arange(width) >= size[:, None]] = 0
+    return head
+
+
+def byte_order(data: np.ndarray, size: np.ndarray, width: int = 24) -> np.ndarray:
+    """Order of some edges, one after the other, by their bytes."""
+    start = np.cumsum(size) - size
+    head = np.empty((len(size), width), np.uint8)
+    for at in range(0, len(size), ROWS):
+        head[at:at + ROWS] = _heads(data, start[at:at + ROWS], size[at:at + ROWS], width)
+    keys = head.view(">u8").astype(np.uint64)
+    order = np.lexsort((size, *keys.T[::-1]))
+    keys = keys[order]
+    run = np.append(np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1))), len(order))
+    longer = np.logical_or.reduceat(size[order] > width, run[:-1]) & (np.diff(run) > 1)
+    for i in np.flatnonzero(longer):  # alike as far as that
+        rows = order[run[i]:run[i + 1]]
+        order[run[i]:run[i + 1]] = sorted(rows, key=lambda r: data[start[r]:start[r] + size[r]].tobytes())
+    return order
 
 
 class Flow:
-    """Sums the flow of every node over sorted edges, some at a time.
+    """Sums the flow of every node over the sorted edges of a language, some at a time.
 
     The open node of each length is carried to the next call: its edge and, per
     length, its flow so far and whether it holds the first edge of all.
@@ -362,89 +408,126 @@ class Flow:
 
     def __init__(self, least: int):
         self.least = least
-        self.edge: bytes | None = None
+        self.edge: np.ndarray | None = None
         self.sums = np.zeros(LONGEST, np.int64)
         self.outer = np.ones(LONGEST, bool)
 
-    def add(self, edge: list[bytes], weight: np.ndarray) -> list[tuple[bytes, int, int, bool]]:
+    def add(self, data: np.ndarray, sizes: np.ndarray, weight: np.ndarray) -> list[tuple[bytes, int, int, bool]]:
         """Nodes that are complete, as rows (path, shortest, n, outer)."""
-        rows = ([self.edge] if self.edge is not None else []) + edge
-        sizes = np.array([len(e) for e in rows])
+        opening = self.edge is None
+        if not opening:
+            data, sizes = np.concatenate([self.edge, data]), np.append(len(self.edge), sizes)
+        rows = len(sizes)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
-        data = np.frombuffer(b"".join(rows), np.uint8)
-        # Words shared with the row before: those that end within the common bytes, the language apart.
+        # Words shared with the row before: those that end within the common bytes.
         within = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
-        before = np.concatenate([[0], sizes[:-1]])
-        there = within < np.repeat(before, sizes)
+        before = np.repeat(np.append(0, sizes[:-1]), sizes)
         unlike = np.ones(len(data), bool)
-        spot = np.flatnonzero(there)
-        unlike[spot] = data[spot] != data[spot - np.repeat(before, sizes)[spot]]
+        spot = np.flatnonzero(within < before)
+        unlike[spot] = data[spot] != data[spot - before[spot]]
         alike = np.minimum.reduceat(np.where(unlike, within, np.iinfo(np.int64).max), offsets[:-1])
         alike = np.minimum(alike, sizes)
         apart = word_ends(data)
         first = np.searchsorted(apart, offsets)
-        shared = np.searchsorted(apart, offsets[:-1] + alike) - first[:-1] - 1
-        words = np.diff(first) - 1
-        sums = np.zeros((LONGEST + 1, len(rows)), np.int64)
-        outer = np.zeros((LONGEST, len(rows)), bool)
-        ended = np.zeros((LONGEST, len(rows)), bool)
+        shared = np.searchsorted(apart, offsets[:-1] + alike) - first[:-1]
+        words = np.diff(first)
+        sums = np.zeros((LONGEST + 1, rows), np.int64)
+        outer = np.zeros((LONGEST, rows), bool)
+        ended = np.zeros((LONGEST, rows), bool)
         for k in range(1, LONGEST + 1):
-            own = weight if self.edge is None else np.concatenate([[self.sums[k - 1]], weight])
-            heads = np.flatnonzero((shared < k) | (np.arange(len(rows)) == 0))
+            own = weight if opening else np.append(self.sums[k - 1], weight)
+            starts = shared < k
+            starts[0] = True
+            heads = np.flatnonzero(starts)
             total = np.add.reduceat(own, heads)
             real = words[heads] >= k
             sums[k, heads[real]] = total[real]
-            outer[k - 1, 0] = self.outer[k - 1] or self.edge is None
+            outer[k - 1, 0] = self.outer[k - 1] or opening
             ended[k - 1, heads[:-1]] = True
             self.outer[k - 1] = outer[k - 1, heads[-1]]
             self.sums[k - 1] = total[-1] if words[heads[-1]] >= k else 0
-        self.edge = rows[-1]
+        self.edge = data[offsets[-2]:]
         out = []
-        run = np.zeros(len(rows), np.int64)
+
+        def said(i: int, k: int) -> bytes:
+            return data[offsets[i]:apart[first[i] + k - 1] + 1].tobytes()
+
+        run = np.zeros(rows, np.int64)
         for k in range(1, LONGEST + 1):
             # A run of lengths of equal flow at a row is one path.
             whole = ended[k - 1] & (sums[k] >= self.least) & ~outer[k - 1]
             run = np.where(whole, np.where((sums[k] == sums[k - 1]) & (run > 0), run + 1, 1), 0)
-            on = np.zeros(len(rows), bool)
+            on = np.zeros(rows, bool)
             if k < LONGEST:
                 on = ended[k] & (sums[k + 1] == sums[k]) & ~outer[k]
-            for i in np.flatnonzero(whole & ~on):
-                out.append((rows[i][:apart[first[i] + k] + 1 - offsets[i]], int(k - run[i] + 1), int(sums[k, i]), False))
-            for i in np.flatnonzero(ended[k - 1] & outer[k - 1] & (sums[k] > 0)):
-                out.append((rows[i][:apart[first[i] + k] + 1 - offsets[i]], k, int(sums[k, i]), True))
+            out += [(said(i, k), int(k - run[i] + 1), int(sums[k, i]), False) for i in np.flatnonzero(whole & ~on)]
+            out += [(said(i, k), k, int(sums[k, i]), True) for i in np.flatnonzero(ended[k - 1] & outer[k - 1] & (sums[k] > 0))]
         return out
 
     def rest(self) -> list[tuple[bytes, int, int, bool]]:
         """The nodes of the last edge."""
         if self.edge is None:
             return []
-        apart = (word_ends(np.frombuffer(self.edge, np.uint8)) + 1).tolist()
-        return [(self.edge[:apart[k]], k, int(self.sums[k - 1]), True) for k in range(1, len(apart))]
+        ends = word_ends(self.edge) + 1
+        return [(self.edge[:end].tobytes(), k, int(self.sums[k - 1]), True) for k, end in enumerate(ends.tolist(), 1)]
 
 
-def paths(sorted_edges: DataFrame, known: Dictionary, least: int) -> DataFrame:
-    """(path, shortest, n, outer) of the nodes that occur ``least`` times in a task, or touch its ends; paths in words."""
-    def batch(rows: list) -> pa.RecordBatch:
+def paths(laid_out: DataFrame, known: Dictionary, least: int) -> DataFrame:
+    """(path, shortest, n, outer) of the nodes that occur ``least`` times in a task, or touch its ends; paths in words.
+
+    A task has the edges of one range, about EDGES_PER_TASK, and sorts them.
+    """
+    def batch(prefix: bytes, rows: list) -> pa.RecordBatch:
         path, shortest, n, outer = zip(*rows)
         return pa.RecordBatch.from_arrays([
-            pa.array([known.said(p) for p in path], pa.binary()), pa.array(shortest, pa.int32()), pa.array(n, pa.int64()), pa.array(outer)],
+            pa.array([known.said(prefix + p) for p in path], pa.binary()),
+            pa.array(shortest, pa.int32()), pa.array(n, pa.int64()), pa.array(outer)],
             names=["path", "shortest", "n", "outer"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flow, edge, weight = Flow(least), [], []
+        held: dict[bytes, list] = {}
         for one in batches:
-            edge += one.column("edge").to_pylist()
-            weight.append(one.column("weight").to_numpy())
-            if len(edge) >= ROWS:
-                out = flow.add(edge, np.concatenate(weight))
-                edge, weight = [], []
+            for row in one.to_pylist():
+                held.setdefault(row["prefix"], []).append((
+                    np.frombuffer(row["edges"], np.uint8), _numbers(row["sizes"], row["n"]), _numbers(row["weights"], row["n"])))
+        for prefix in list(held):
+            data, size, weight = (np.concatenate(v) for v in zip(*held.pop(prefix)))
+            order, start = byte_order(data, size), np.cumsum(size) - size
+            flow = Flow(least)
+            for at in range(0, len(order), ROWS):
+                own = order[at:at + ROWS]
+                out = flow.add(_slices(data, start[own], size[own]), size[own], weight[own])
                 if out:
-                    yield batch(out)
-        out = (flow.add(edge, np.concatenate(weight)) if edge else []) + flow.rest()
-        if out:
-            yield batch(out)
+                    yield batch(prefix, out)
+            yield batch(prefix, flow.rest())
+
+    return laid_out.mapInArrow(run, "path binary, shortest int, n long, outer boolean")
+
+
+def range_starts(sample: DataFrame, bits: np.ndarray, known: Dictionary, tasks: int) -> dict[bytes, list[bytes]]:
+    """Where the ranges of edges start, by language; about ``tasks`` in all, of about equally many edges.
+
+    From a sample of edges, at most SAMPLES. A language that it does not hold is in one of the ranges.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one in batches:
+            for row in one.to_pylist():
+                size = _numbers(row["sizes"], row["n"])
+                ends = np.cumsum(size).tolist()
+                found = [row["edges"][e - s:e][:RANGE_BYTES] for s, e in zip(size.tolist(), ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["prefix"]] * len(found), pa.binary()), pa.array(found, pa.binary())], names=["prefix", "edge"])
 
-    return sorted_edges.mapInArrow(run, "path binary, shortest int, n long, outer boolean")
+    drawn = edges(sample, bits, known, {}).mapInArrow(run, "prefix binary, edge binary").orderBy(
+        F.rand(seed=1)).limit(min(64 * tasks, SAMPLES)).collect()
+    by_lang: dict[bytes, list[bytes]] = {}
+    for prefix, edge in sorted((bytes(r.prefix), bytes(r.edge)) for r in drawn):
+        by_lang.setdefault(prefix, []).append(edge)
+    starts = {}
+    for prefix, own in by_lang.items():
+        parts = max(1, round(tasks * len(own) / len(drawn)))
+        starts[prefix] = sorted({own[len(own) * i // parts].rstrip(b"\0") for i in range(parts)})
+    return starts
 
 
 def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
@@ -460,10 +543,9 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     tasks = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // EDGES_PER_TASK)), MOST_TASKS)
     sample = materialize(texts.sample(min(1.0, SAMPLE_TEXTS / max(texts.count(), 1)), seed=1), "sample-texts")
     known = dictionary(sample)
-    some = edges(sample, bits, known, []).select("edge").orderBy(F.rand(seed=1)).limit(min(64 * tasks, SAMPLES)).collect()
-    some = sorted(bytes(r.edge) for r in some)
-    cuts = sorted({some[len(some) * i // tasks][:RANGE_BYTES].rstrip(b"\0") for i in range(1, tasks)}) if some else []
-    laid_out = edges(texts, bits, known, cuts).repartitionById(tasks, F.col("part")).select("edge", "weight").sortWithinPartitions("edge")
+    cuts = range_starts(sample, bits, known, tasks)
+    parts = max(1, sum(len(own) for own in cuts.values()))
+    laid_out = edges(texts, bits, known, cuts).repartitionById(parts, F.col("part"))
     found = materialize(paths(laid_out, known, least), "phrase-paths")
     inner = found.filter(~F.col("outer")).select("path", "shortest", "n")
     outer = found.filter("outer").groupBy("path", "shortest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)

@@ -97,28 +97,34 @@ def test_flow_is_the_same_however_edges_are_split():
             want[lang, said[:k]] += n
     least = 30
     want = {p: n for p, n in want.items() if n >= least}
-    ordered = sorted(rows.items())
-    for split in (1, 7, 100, len(ordered)):
-        for tasks in (1, 3):
-            got, outer = {}, Counter()
-            for t in range(tasks):
-                own = ordered[len(ordered) * t // tasks:len(ordered) * (t + 1) // tasks]
-                flow, found = phrases.Flow(least), []
-                for at in range(0, len(own), split):
-                    part = own[at:at + split]
-                    found += flow.add([e for e, _ in part], np.array([n for _, n in part]))
-                for path, shortest, n, edge_of_task in found + flow.rest():
-                    lang, said = known.said(path).split(b"\n")
-                    parts = (b"\r" + lang + b"\n", tuple(said.split(b" ")[:-1]))
-                    if edge_of_task:
-                        assert shortest == len(parts[1])
-                        outer[parts] += n
-                        continue
-                    for k in range(shortest, len(parts[1]) + 1):
-                        assert (parts[0], parts[1][:k]) not in got
-                        got[parts[0], parts[1][:k]] = n
-            assert not set(got) & set(outer)
-            assert got | {p: n for p, n in outer.items() if n >= least} == want
+    for lang in (b"\ren\n", b"\rde\n"):
+        edges = [e for e in rows if e.startswith(lang)]
+        data = np.frombuffer(b"".join(e[len(lang):] for e in edges), np.uint8)
+        size = np.array([len(e) - len(lang) for e in edges])
+        order = phrases.byte_order(data, size, 8)
+        ordered = sorted(edges)
+        assert [edges[i] for i in order] == ordered
+        own_want = {p: n for (name, p), n in want.items() if name == lang}
+        for split in (1, 7, 100, len(ordered)):
+            for tasks in (1, 3):
+                got, outer = {}, Counter()
+                for t in range(tasks):
+                    own = [(e[len(lang):], rows[e]) for e in ordered[len(ordered) * t // tasks:len(ordered) * (t + 1) // tasks]]
+                    flow, found = phrases.Flow(least), []
+                    for at in range(0, len(own), split):
+                        edge, n = zip(*own[at:at + split])
+                        found += flow.add(np.frombuffer(b"".join(edge), np.uint8), np.array([len(e) for e in edge]), np.array(n))
+                    for path, shortest, n, edge_of_task in found + flow.rest():
+                        parts = tuple(known.said(lang + path).split(b"\n")[1].split(b" ")[:-1])
+                        if edge_of_task:
+                            assert shortest == len(parts)
+                            outer[parts] += n
+                            continue
+                        for k in range(shortest, len(parts) + 1):
+                            assert parts[:k] not in got
+                            got[parts[:k]] = n
+                assert not set(got) & set(outer)
+                assert got | {p: n for p, n in outer.items() if n >= least} == own_want
 
 
 def test_pieces_of_a_block():
