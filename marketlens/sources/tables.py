@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from marketlens.sources.quoted_csv import read_quoted_csv
 from marketlens.sources.schemas import LAYERS, file_schema
+from marketlens.sources.versions import RETENTION, VersionedTable
 
 log = logging.getLogger(__name__)
 
@@ -22,73 +23,66 @@ EXPORTED_TABLES = (
 def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Read one raw CSV extract (header row) with its declared schema.
 
-    Only reviews hold free text with line breaks; every other file stays
-    splittable.
+    Only reviews hold free text with line breaks; every file is read in splits.
     """
-    return (
-        spark.read.schema(file_schema(name))
-        .option("header", True).option("multiLine", name == "reviews").option("escape", '"')
-        .csv(path)
-    )
+    if name == "reviews":
+        return read_quoted_csv(spark, path, file_schema(name))
+    return spark.read.schema(file_schema(name)).option("header", True).option("escape", '"').csv(path)
 
 
 class Lake:
-    """Three layers of Parquet tables below one root folder."""
+    """Three layers of Parquet tables below one root folder, each replaced version by version."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, retention: float = RETENTION):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.retention = retention
 
     def path(self, layer: str, name: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
         return f"{self.root}/{layer}/{name}"
 
+    def versions(self, layer: str, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(layer, name))
+
+    def _current(self, layer: str, name: str) -> str:
+        folder = self.versions(layer, name).current()
+        if folder is None:
+            raise FileNotFoundError(f"{layer}.{name} has no version below {self.root}")
+        return folder
+
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        """The newest version; it stays what it is while later ones are written."""
+        return self.spark.read.parquet(self._current(layer, name))
 
     def write(self, df: DataFrame, layer: str, name: str) -> int:
         """Replace a table and return its row count.
 
-        Rows are counted while they are written, beside the old table. An empty
-        result is reported and discarded, so the old table stays. The old table is
-        moved aside before the new one takes its place and deleted last, so that
-        at every moment one of the two is complete; if the second move fails, the
-        old table is moved back.
+        Rows are counted while they are written. The version takes effect with its
+        manifest, at once and as a whole; a writer that dies before leaves the old one.
+        An empty result is reported and discarded, so the old table stays.
         """
-        target = self.path(layer, name)
-        fresh = f"{self.root}/_incoming/{layer}-{name}-{uuid.uuid4().hex}"
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(fresh)
+        table = self.versions(layer, name)
+        folder, seen = table.new_folder(), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
         rows = seen.get["rows"]
-
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        fresh_path, target_path = hadoop.Path(fresh), hadoop.Path(target)
-        fs = target_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if rows == 0:
             log.warning("%s.%s is empty, the previous table is kept", layer, name)
-            fs.delete(fresh_path, True)
+            table.discard(folder)
             return 0
-        fs.mkdirs(target_path.getParent())
-        aside = hadoop.Path(f"{self.root}/_incoming/{layer}-{name}-old-{uuid.uuid4().hex}")
-        held = fs.exists(target_path)
-        if held and not fs.rename(target_path, aside):
-            raise OSError(f"could not move {target} aside")
-        if not fs.rename(fresh_path, target_path):
-            if held:
-                fs.rename(aside, target_path)
-            raise OSError(f"could not move {fresh} to {target}")
-        if held:
-            fs.delete(aside, True)
-        self.spark.catalog.refreshByPath(target)
+        table.publish(folder, rows)
+        if self.spark.catalog.tableExists(f"{layer}.{name}"):
+            self.register(layer, name)
+        table.clean(self.retention)
         return rows
 
     def register(self, layer: str, name: str) -> None:
-        """Make a table visible in the catalog under ``layer.name``."""
+        """Make a table visible in the catalog under ``layer.name``; later versions move the entry along."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
         self.spark.catalog.createTable(
-            f"{layer}.{name}", path=self.path(layer, name), source="parquet"
+            f"{layer}.{name}", path=self._current(layer, name), source="parquet"
         )
 
 

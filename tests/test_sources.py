@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime as dt
+from threading import Event, Thread
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.sources import reports, tables
+from marketlens.sources import quoted_csv, reports, tables
 from marketlens.sources.schemas import RAW_SCHEMAS, file_schema
+from marketlens.sources.versions import VersionedTable
 
 
 @pytest.fixture
@@ -25,6 +29,65 @@ def test_writing_replaces_and_counts(spark, lake):
     assert lake.read("staging", "t").collect() == [("c",)]
 
 
+def test_a_writer_that_dies_leaves_the_old_version(spark, lake, monkeypatch):
+    lake.write(frame(spark, "a"), "staging", "t")
+    table = lake.versions("staging", "t")
+    with monkeypatch.context() as broken:  # dies after the data, before the manifest
+        broken.setattr(VersionedTable, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.write(frame(spark, "b"), "staging", "t")
+    assert lake.read("staging", "t").collect() == [("a",)]
+    folder = table.root + "/_versions"
+    for cut_off in ("", '{"version": 2, "fol'):  # dies while it writes the manifest
+        with open(f"{folder}/0000000002.json", "w") as f:
+            f.write(cut_off)
+        assert lake.read("staging", "t").collect() == [("a",)]
+    assert lake.write(frame(spark, "c"), "staging", "t") == 1
+    assert lake.read("staging", "t").collect() == [("c",)]
+    assert [v["version"] for v in table.versions()] == [3, 1]
+    with pytest.raises(FileNotFoundError):
+        lake.read("staging", "none")
+
+
+def test_versions_are_numbered_once_and_cleaned(spark, tmp_path):
+    lake = tables.Lake(spark, str(tmp_path / "lake"), retention=0)
+    for value in "abc":
+        before = lake.read("staging", "t") if value > "a" else None
+        lake.write(frame(spark, value), "staging", "t")
+    assert [v["version"] for v in lake.versions("staging", "t").versions()] == [3]
+    assert len(list((tmp_path / "lake/staging/t").glob("data-*"))) == 1
+    with pytest.raises(Exception):
+        before.collect()  # its version is gone
+    table = lake.versions("staging", "t")
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda i: table.publish(table.new_folder(), i), range(8)))
+    assert sorted(numbers) == list(range(4, 12))
+
+
+def test_readers_never_fail_while_a_writer_replaces(spark, lake):
+    lake.write(frame(spark, *"0" * 50), "staging", "t")
+    seen, failures, done = [], [], Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = [r.id for r in lake.read("staging", "t").collect()]
+                assert len(rows) == 50 and len(set(rows)) == 1
+                seen.append(rows[0])
+            except Exception as e:  # noqa: BLE001
+                failures.append(e)
+    readers = [Thread(target=read) for _ in range(3)]
+    for reader in readers:
+        reader.start()
+    for i in range(1, 7):
+        lake.write(frame(spark, *str(i) * 50), "staging", "t")
+    done.set()
+    for reader in readers:
+        reader.join()
+    assert not failures and len(set(seen)) > 1 and seen[-1] <= "6"
+    assert lake.read("staging", "t").first().id == "6"
+
+
 def test_an_empty_result_keeps_the_old_table(spark, lake):
     lake.write(frame(spark, "a"), "staging", "t")
     assert lake.write(frame(spark), "staging", "t") == 0
@@ -55,6 +118,29 @@ def test_raw_files_keep_line_breaks_quotes_and_bad_numbers(spark, tmp_path):
     assert back.review_score == "n/a" and back.review_answer_timestamp is None
 
 
+def test_quoted_files_are_read_in_splits(spark, tmp_path):
+    rng = random.Random(0)
+    words = ["plain", 'said "no"', "a\nb", "\n\n", '"', "x,y", "", None, "é😀", "\r\n", '""\n""', "long " * 400, "line\n" * 300]
+    rows = [(f"r{i}", str(i), rng.choice("12345"), rng.choice(words), rng.choice(words), "2020-01-01 00:00:00", None) for i in range(600)]
+    df = spark.createDataFrame(rows, file_schema("reviews"))
+    path = str(tmp_path / "reviews")
+    tables.export_csv(df.coalesce(2), path)
+    whole = spark.read.schema(file_schema("reviews")).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    want = sorted(map(tuple, whole.collect()), key=str)
+    assert len(want) == 600
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (500, 3_000, 40_000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 0)
+            assert quoted_csv.lines(spark, path).rdd.getNumPartitions() > 2
+            assert sorted(map(tuple, tables.read_raw(spark, path, "reviews").collect()), key=str) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, tables.read_raw(spark, path, "reviews").collect()), key=str) == want
+
+
 def test_every_raw_schema_can_be_read(spark, tmp_path):
     for name, schema in RAW_SCHEMAS.items():
         path = str(tmp_path / name)
