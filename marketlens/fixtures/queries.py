@@ -613,13 +613,19 @@ def correlation_matrix(w):
 
 @query
 def feature_profile(w):
-    return rounded(scaling.profile(w.tiered, SELLER_FEATURES).drop("data_type"), 4,
+    return rounded(scaling.profile(w.tiered, SELLER_FEATURES), 4,
                    "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
+@query
+def raw_column_types(w):
+    """Types of the raw reviews, as declared and as their values tell."""
+    return scaling.column_overview(w.raw("reviews"))
+
+
 @query
 def segment_profile(w):
-    return rounded(scaling.profile(w.segment_input, SEGMENT_FEATURES).drop("data_type"), 4,
+    return rounded(scaling.profile(w.segment_input, SEGMENT_FEATURES), 4,
                    "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

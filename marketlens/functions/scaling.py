@@ -103,12 +103,41 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+# What a text column may hold, narrowest first: all its values must match.
+TEXT_TYPES = {
+    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$",
+    "timestamp": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$",
+    "boolean": r"^([tT]rue|[fF]alse|TRUE|FALSE)$",
+}
+
+
 def column_overview(df: DataFrame) -> DataFrame:
-    """Type and non-null count of every column: (column_name, data_type, non_null)."""
-    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    """Of every column, in one pass: (column_name, data_type, inferred_type, rows, non_null).
+
+    ``inferred_type`` is the narrowest type that holds all values of a text column, from
+    counts that add up over parts of a table; ``void`` without values. Other columns
+    keep their declared type.
+    """
+    def matched(c: str) -> Column:
+        return F.struct(*[F.count_if(F.col(f"`{c}`").rlike(p)).alias(t) for t, p in TEXT_TYPES.items()])
+
+    texts = [c for c, t in df.dtypes if t == "string"]
+    row = df.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns],
+        *[matched(c).alias(f"_fits {c}") for c in texts])
+
+    def inferred(c: str, declared: str) -> Column:
+        held, kind = F.col(f"`{c}`"), F.lit("string")
+        if declared != "string":
+            return F.lit(declared)
+        for name in reversed(TEXT_TYPES):
+            kind = F.when(F.col(f"`_fits {c}`")[name] == held, name).otherwise(kind)
+        return F.when(held == 0, "void").otherwise(kind)
+
     cells = [
-        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"),
-                 F.col(f"`{c}`").alias("non_null"))
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), inferred(c, t).alias("inferred_type"),
+                 F.col("_rows").alias("rows"), F.col(f"`{c}`").alias("non_null"))
         for c, t in df.dtypes
     ]
     return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")

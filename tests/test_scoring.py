@@ -47,6 +47,17 @@ def test_correlation_and_profile_match_pandas(spark):
     assert overview == {"a": 60, "b": 60, "flat": 60}
 
 
+def test_types_of_text_columns(spark):
+    columns = {"whole": ["1", "-20", None], "real": ["1", "2.5", "1e3"], "day": ["2020-01-02", "2020-01-02 03:04:05.6", None],
+               "flag": ["true", "False", None], "mixed": ["1", "n/a", None], "none": [None] * 3, "blank": ["", "1", "2"]}
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} string" for c in columns)).withColumn("n", F.lit(1))
+    out = {r.column_name: (r.data_type, r.inferred_type, r.rows, r.non_null) for r in scaling.column_overview(df).collect()}
+    assert out == {
+        "whole": ("string", "bigint", 3, 2), "real": ("string", "double", 3, 3), "day": ("string", "timestamp", 3, 2),
+        "flag": ("string", "boolean", 3, 2), "mixed": ("string", "string", 3, 2), "none": ("string", "void", 3, 0),
+        "blank": ("string", "string", 3, 3), "n": ("int", "int", 3, 3)}
+
+
 def model_rows(spark, n=40, seed=4):
     rng = np.random.default_rng(seed)
     data = pd.DataFrame({c: rng.random(n) for c in MODEL_FEATURES})
