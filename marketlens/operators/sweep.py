@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from marketlens.functions.cells import cells_of, plan_tight_cells
 from marketlens.session import materialize
 
-SAMPLE = 4_096           # points that starts and cells are made from
-WARM = 100               # steps on the sample at most
+SAMPLE = 1 << 14         # points that starts and cells are made from
+WARM = 300               # steps on the sample at most
 PASSES, SHIFT = 300, 1e-4  # passes over all points at most; a fit is done when its centres move less (squared, in all)
 ROWS = 1 << 20           # distances a task looks at together
-FIRST_CELLS, MOST_CELLS = 256, 1 << 14
-ERROR = 0.01
+FIRST_CELLS, MOST_CELLS = 2_048, 1 << 14
+ERROR = 0.02
 
 
 def sample_points(points: DataFrame, columns: Sequence[str], rows: int = SAMPLE) -> np.ndarray:
@@ -65,11 +65,10 @@ def _start(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
         centres = np.vstack([centres, sample[drawn]])
     for _ in range(WARM):
         label = _gaps(sample, centres).argmin(1)
-        moved = centres.copy()
-        for c in range(k):
-            if (label == c).any():
-                moved[c] = sample[label == c].mean(0)
-        done = ((moved - centres) ** 2).sum() <= SHIFT
+        n = np.bincount(label, minlength=k)[:, None]
+        sums = np.column_stack([np.bincount(label, axis, minlength=k) for axis in sample.T])
+        moved = np.where(n > 0, sums / np.maximum(n, 1), centres)
+        done = ((moved - centres) ** 2).sum() <= SHIFT / 100
         centres = moved
         if done:
             break
@@ -288,7 +287,7 @@ def silhouettes(points: DataFrame, columns: Sequence[str], labels: Sequence[str]
             out[i] = found
         if cells >= most_cells or all(e <= error for _, e in out.values()):
             return [out[i] for i in range(len(labels))]
-        cells = min(4 * cells, most_cells)
+        cells = min(2 * cells, most_cells)
 
 
 def _bounded(points: DataFrame, columns: list[str], labels: list[str], plan: tuple, clusters: list[Clusters]) -> list[tuple[float, float]]:

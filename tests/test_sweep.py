@@ -32,18 +32,20 @@ def stored(spark, x, **labels):
     return materialize(spark.createDataFrame(data).repartition(3), "test-points")
 
 
-def test_bounds_hold_the_silhouette_of_all_pairs(spark):
+def test_bounds_hold_the_silhouette_of_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(300, 3)), rng.normal(size=(200, 3)) + 2, rng.exponential(size=(200, 3)) * 3, np.ones((50, 3))])
     labels = {"a": rng.integers(0, 4, len(x)).astype(np.int32), "b": (x[:, 0] > 1).astype(np.int32),
               "c": np.r_[0, np.ones(len(x) - 1)].astype(np.int32)}
     points = stored(spark, x, **labels)
-    for error in (0.05, 0.005):
+    for error, first in ((0.05, 8), (0.005, 64)):
+        monkeypatch.setattr(sweep, "FIRST_CELLS", first)
         for (value, off), name in zip(sweep.silhouettes(points, ["x0", "x1", "x2"], labels, error), labels):
             assert off <= error and abs(value - brute_silhouette(x, labels[name])) <= off + 1e-9
     value, off = sweep.silhouettes(points, ["x0", "x1", "x2"], ["a"], 1e-12)[0]  # cells of single points
     assert off < 1e-6 and value == pytest.approx(brute_silhouette(x, labels["a"]))
-    coarse = sweep.silhouettes(points, ["x0", "x1", "x2"], ["a"], 1e-12, most_cells=256)[0]
+    monkeypatch.setattr(sweep, "FIRST_CELLS", 64)
+    coarse = sweep.silhouettes(points, ["x0", "x1", "x2"], ["a"], 1e-12, most_cells=128)[0]
     assert coarse[1] > 1e-6 and abs(coarse[0] - value) <= coarse[1]
     clusters = sweep.cluster_sums(points, ["x0", "x1", "x2"], list(labels))
     bouldin, squared = sweep.linear_indices(points, ["x0", "x1", "x2"], list(labels), clusters)
