@@ -1,18 +1,20 @@
 """Hierarchical clustering by Ward's criterion, of all sellers.
 
 Two clusters that are each other's nearest may be merged at any time without changing
-the hierarchy. So the work goes in rounds: every cluster finds its nearest one, all
-mutual pairs merge, and about a third fewer clusters enter the next round. A cluster
-is its number of sellers and the sums of their features.
-
-Nearest clusters are searched in cells of bounded size. The first answer comes from the
-cluster's own cell; cells whose box might hold a nearer one are asked afterwards. The
-last ``FINISH`` clusters, the top of the hierarchy, are merged in one task.
+the hierarchy. So the work goes in rounds over cells of bounded size. A cluster is its
+number of sellers and the sums of their features.
+
+Every cluster first finds its nearest one in its cell, then asks the cells whose boxes
+reach near it for the nearest one there. Within a cell, mutual pairs then merge again and
+again as long as nothing outside can be nearer: a merged cluster is no nearer to others
+than the nearer of its parts was, whatever merges elsewhere. Mutual pairs across cells
+merge once. The last ``CELL`` clusters, the top of the hierarchy, are merged in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -29,11 +31,11 @@ from marketlens.operators.features import log_segment_features
 from marketlens.rules import SEGMENT_FEATURES, SEGMENT_LOG_FEATURES
 from marketlens.session import materialize
 
-CELL = 1_000            # clusters of a cell, about
+CELL = 2_000            # clusters of a cell, about
 MOST_CELLS = 20_000     # boxes of cells that every task knows; beyond, cells grow
 SAMPLE = 20_000         # clusters the cells are cut by; no result depends on them
-FINISH = 256
 PAIRS = 1 << 18         # distances a task looks at together
+REACH = 6.0             # other cells are asked as far as so many times the nearest height (squared) in the own cell
 CUT_HEIGHT = 20.0
 Z_COLUMNS = tuple(
     f"z_log_{c}" if c in SEGMENT_LOG_FEATURES else f"z_{c}" for c in SEGMENT_FEATURES
@@ -69,33 +71,120 @@ def _centres(rows: pd.DataFrame, sums: Sequence[str]) -> tuple[np.ndarray, np.nd
     return rows[list(sums)].to_numpy(float) / weight[:, None], weight
 
 
-def _best(asking: np.ndarray, weights: np.ndarray, ids: np.ndarray, centres: np.ndarray, sizes: np.ndarray,
-          names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest of ``names`` (ascending) and its squared height for each asking cluster, itself apart; the first on ties."""
-    near, gap = np.full(len(ids), -1, np.int64), np.full(len(ids), np.inf)
+def _gaps(asking: np.ndarray, weights: np.ndarray, centres: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Squared heights at which clusters would merge."""
+    total = np.zeros((len(asking), len(centres)))
+    for axis in range(centres.shape[1]):
+        total += (asking[:, axis, None] - centres[None, :, axis]) ** 2
+    return total * _factor(weights[:, None], sizes[None])
+
+
+def _best(asking: np.ndarray, weights: np.ndarray, centres: np.ndarray, sizes: np.ndarray,
+          names: np.ndarray, itself: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest of ``names`` (ascending) and its squared height for each asking cluster; the first on ties.
+
+    Where those that ask are the named ones, ``itself``, they do not count for themselves; -1 is nobody.
+    """
+    near, gap = np.empty(len(asking), np.int64), np.empty(len(asking))
     step = max(1, PAIRS // max(len(names), 1))
-    for at in range(0, len(ids), step):
+    for at in range(0, len(asking), step):
         part = slice(at, at + step)
-        total = np.zeros((len(ids[part]), len(names)))
-        for axis in range(centres.shape[1]):
-            total += (asking[part, axis, None] - centres[None, :, axis]) ** 2
-        total *= _factor(weights[part, None], sizes[None])
-        total[ids[part, None] == names[None]] = np.inf
+        total = _gaps(asking[part], weights[part], centres, sizes)
+        if itself:
+            total[np.arange(len(total)), at + np.arange(len(total))] = np.inf
         place = total.argmin(1)
         gap[part] = total[np.arange(len(place)), place]
         near[part] = np.where(np.isfinite(gap[part]), names[place], -1)
     return near, gap
 
 
-def _round(state: DataFrame, sums: Sequence[str], count: int) -> DataFrame:
-    """One round: (low, high, n, id, left, right, weight, sums..., gap); n = 2 for merged pairs, 1 for the others."""
+def _bounds(centres: np.ndarray, weight: np.ndarray, boxes: Boxes) -> np.ndarray:
+    """What squared heights with clusters of each box are not below."""
+    away = np.zeros((len(centres), len(boxes.least)))
+    for axis in range(centres.shape[1]):
+        x = centres[:, axis, None]
+        away += np.maximum(np.maximum(boxes.low[None, :, axis] - x, x - boxes.high[None, :, axis]), 0) ** 2
+    return away * _factor(weight[:, None], boxes.least[None]) * (1 - 1e-9)
+
+
+@dataclass(frozen=True)
+class Boxes:
+    """Per cell: its number, smallest cluster, and the range of its centres."""
+
+    cells: np.ndarray
+    least: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    @classmethod
+    def of(cls, placed: DataFrame, sums: Sequence[str]) -> Boxes:
+        rows = placed.groupBy("cell").agg(F.min("weight").alias("weight"), *[
+            f(F.col(s) / F.col("weight")).alias(f"{name}_{s}") for s in sums for name, f in (("low", F.min), ("high", F.max))])
+        found = rows.toPandas()  # a row per cell
+        low, high = (found[[f"{name}_{s}" for s in sums]].to_numpy(float) for name in ("low", "high"))
+        return cls(found["cell"].to_numpy(), found["weight"].to_numpy(float), low, high)
+
+
+def _merge_inside(rows: pd.DataFrame, sums: Sequence[str]) -> pd.DataFrame:
+    """A cell's clusters after its own merges, with the pair they wish for, and those merges (with ``left``).
+
+    ``beyond`` is what no cluster outside the cell comes below.
+    """
+    rows = rows.sort_values("id")
+    ids, node = rows["id"].to_numpy().copy(), rows["node"].to_numpy().copy()
+    size, total = rows["weight"].to_numpy().copy(), rows[list(sums)].to_numpy(float).copy()
+    beyond = rows["beyond"].to_numpy(float).copy()
+    every = np.arange(len(ids))
+    centres = total / size[:, None]
+    gap = _gaps(centres, size.astype(float), centres, size.astype(float))
+    np.fill_diagonal(gap, np.inf)
+    alive, touched = np.ones(len(ids), bool), np.zeros(len(ids), bool)
+    near = gap.argmin(1)
+    best = gap[every, near]
+    merges = []
+    while True:
+        mutual = alive & (near[near] == every) & (best < beyond) & (best < beyond[near])
+        low = np.flatnonzero(mutual & (every < near))  # rows are by id
+        if not len(low):
+            break
+        high = near[low]
+        both = size[low] + size[high]
+        merges.append((ids[high], node[low], node[high], both, best[low]))
+        node[low], size[low] = ids[high], both
+        total[low] += total[high]
+        beyond[low] = np.minimum(beyond[low], beyond[high])
+        alive[high], touched[low] = False, True
+        gap[high], gap[:, high] = np.inf, np.inf
+        kept = np.flatnonzero(alive)
+        fresh = _gaps(total[low] / size[low, None], size[low].astype(float),
+                      total[kept] / size[kept, None], size[kept].astype(float))
+        gap[np.ix_(low, kept)], gap[np.ix_(kept, low)] = fresh, fresh.T
+        gap[low, low] = np.inf
+        # Only those whose nearest one changed look again; no merge brings another one nearer.
+        changed = np.zeros(len(ids), bool)
+        changed[low] = changed[high] = True
+        again = np.flatnonzero(alive & (changed | changed[near]))
+        near[again] = gap[again].argmin(1)
+        best[again] = gap[again, near[again]]
+    wish = ~touched[:, None] & rows["low"].notna().to_numpy()[:, None]
+    pair = np.where(wish, rows[["low", "high"]].fillna(-1).to_numpy(np.int64), ids[:, None])
+    left = pd.DataFrame({"id": ids, "node": node, "weight": size, "low": pair[:, 0], "high": pair[:, 1],
+                         "gap": rows["gap"].to_numpy(), **{s: total[:, i] for i, s in enumerate(sums)}})[alive]
+    if not merges:
+        return left.assign(left=pd.NA, right=pd.NA).astype({"left": "Int64", "right": "Int64"})
+    done = pd.DataFrame(dict(zip(("node", "left", "right", "weight", "gap"), map(np.concatenate, zip(*merges)))))
+    return pd.concat([left, done]).astype({c: "Int64" for c in ("id", "node", "weight", "low", "high", "left", "right")})
+
+
+def _round(state: DataFrame, sums: Sequence[str], count: int) -> tuple[DataFrame, DataFrame, int]:
+    """Merges of one round, the clusters after it and their number."""
     sums = list(sums)
     known = ["id", "node", "weight", *sums]
-    cells = min(-(-count // CELL), MOST_CELLS)
+    figures = ", ".join(f"{s} double" for s in sums)
     # The size is one more axis, as small and large clusters have different reach.
     sample = state.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, count // SAMPLE))) == 0).select("weight", *sums).toPandas()
     centres, weight = _centres(sample, sums)
-    plan, _ = plan_cells(np.column_stack([centres, np.log2(weight)]), cells)
+    plan, _ = plan_cells(np.column_stack([centres, np.log2(weight)]), min(-(-count // CELL), MOST_CELLS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,60 +192,65 @@ def _round(state: DataFrame, sums: Sequence[str], count: int) -> DataFrame:
             cell = pa.array(cells_of(plan, np.column_stack([centres, np.log2(weight)])))
             yield pa.RecordBatch.from_arrays([cell, *batch.columns], names=["cell", *known])
 
+    schema = f"cell int, id long, node long, weight long, {figures}"
     def own(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
-        ids = rows["id"].to_numpy()
         centres, weight = _centres(rows, sums)
-        near, gap = _best(centres, weight, ids, centres, weight, ids)
+        near, gap = _best(centres, weight, centres, weight, rows["id"].to_numpy(), itself=True)
         return rows.assign(near=near, gap=gap)
 
-    schema = "cell int, id long, node long, weight long, " + ", ".join(f"{s} double" for s in sums)
+    schema = f"cell int, id long, node long, weight long, {figures}"
     found = materialize(state.select(*known).mapInArrow(place, schema).groupBy("cell").applyInPandas(
         own, schema + ", near long, gap double"), "ward-own")
-    best = found.select(*known, "near", "gap")
-    boxes = found.groupBy("cell").agg(
-        F.min("weight").alias("weight"), *[f(F.col(s) / F.col("weight")).alias(f"{name}_{s}")
-                                           for s in sums for name, f in (("low", F.min), ("high", F.max))]).toPandas()
-    if len(boxes) > 1:  # at most a row per cell
-        numbers, least = boxes["cell"].to_numpy(), boxes["weight"].to_numpy(float)
-        low, high = (boxes[[f"{name}_{s}" for s in sums]].to_numpy(float) for name in ("low", "high"))
-        asked = "target int, id long, weight long, " + ", ".join(f"{s} double" for s in sums)
-
-        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = batch.to_pandas()
-                centres, weight = _centres(rows, sums)
-                home, gap = rows["cell"].to_numpy(), rows["gap"].to_numpy()
-                step = max(1, PAIRS // len(numbers))
-                for at in range(0, len(rows), step):
-                    part = slice(at, at + step)
-                    away = np.zeros((len(rows[part]), len(numbers)))
-                    for axis in range(centres.shape[1]):
-                        x = centres[part, axis, None]
-                        away += np.maximum(np.maximum(low[None, :, axis] - x, x - high[None, :, axis]), 0) ** 2
-                    bound = away * _factor(weight[part, None], least[None]) * (1 - 1e-9)
-                    i, j = np.nonzero((bound <= gap[part, None]) & (home[part, None] != numbers[None]))
-                    own = batch.slice(at, step).take(pa.array(i)).select(["id", "weight", *sums])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(numbers[j].astype(np.int32)), *own.columns], names=["target", "id", "weight", *sums])
-
-        def answer(asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("id")
-            x, weight = _centres(asking, sums)
-            near, gap = _best(x, weight, asking["id"].to_numpy(), *_centres(rows, sums), rows["id"].to_numpy())
-            return pd.DataFrame({"id": asking["id"], "near": near, "gap": gap})
-
-        elsewhere = found.select("cell", "id", "weight", *sums, "gap").mapInArrow(ask, asked).groupBy("target").cogroup(
-            found.select("cell", "id", "weight", *sums).groupBy("cell")).applyInPandas(answer, "id long, near long, gap double")
-        empty = [F.lit(None).cast("long").alias(c) for c in ("node", "weight")] + [F.lit(None).cast("double").alias(s) for s in sums]
-        best = best.unionByName(elsewhere.select("id", "near", "gap", *empty))
-    ends = F.struct("gap", F.least("id", "near").alias("low"), F.greatest("id", "near").alias("high"))
-    # Of a cluster's answers only its own row holds its figures.
-    nearest = best.groupBy("id").agg(
-        F.min(F.when(F.col("near") >= 0, ends)).alias("best"), *[F.max(c).alias(c) for c in ("node", "weight", *sums)])
-    return nearest.groupBy("best.low", "best.high").agg(
+    boxes = Boxes.of(found, sums)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pandas()
+            centres, weight = _centres(rows, sums)
+            home, far = rows["cell"].to_numpy(), rows["gap"].to_numpy() * REACH
+            step = max(1, PAIRS // len(boxes.cells))
+            for at in range(0, len(rows), step):
+                part = slice(at, at + step)
+                bound = _bounds(centres[part], weight[part], boxes)
+                i, j = np.nonzero((bound <= far[part, None]) & (home[part, None] != boxes.cells[None]))
+                asking = batch.slice(at, step).take(pa.array(i)).select(["id", "weight", *sums])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(boxes.cells[j].astype(np.int32)), *asking.columns], names=["target", "id", "weight", *sums])
+
+    def answer(asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(asking):
+            return pd.DataFrame(columns=["id", "near", "gap"], dtype=object)
+        rows = rows.sort_values("id")
+        near, gap = _best(*_centres(asking, sums), *_centres(rows, sums), rows["id"].to_numpy())
+        return pd.DataFrame({"id": asking["id"], "near": near, "gap": gap})
+
+    def ends():
+        return F.struct("gap", F.least("id", "near").alias("low"), F.greatest("id", "near").alias("high"))
+
+    elsewhere = found.select("cell", "id", "weight", *sums, "gap").mapInArrow(
+        ask, f"target int, id long, weight long, {figures}").groupBy("target").cogroup(
+        found.select("cell", "id", "weight", *sums).groupBy("cell")).applyInPandas(answer, "id long, near long, gap double")
+    outside = elsewhere.groupBy("id").agg(F.min(ends()).alias("out"))
+    here = F.when(F.col("near") >= 0, ends())
+    known_far = found.join(outside, "id", "left").select(
+        "cell", *known, F.least(F.col("out.gap"), F.col("gap") * REACH).alias("beyond"),
+        F.least(here, "out").alias("best")).select("cell", *known, "beyond", "best.*")
+    merged_inside = materialize(known_far.groupBy("cell").applyInPandas(
+        lambda rows: _merge_inside(rows, sums),
+        f"id long, node long, weight long, low long, high long, gap double, {figures}, left long, right long"), "ward-inside")
+    inside = merged_inside.filter("left is not null").select(
+        "node", "left", "right", F.sqrt("gap").alias("height"), F.col("weight").alias("size"))
+    nearest = merged_inside.filter("left is null").withColumn("best", F.struct("low", "high", "gap"))
+    paired = materialize(nearest.groupBy("best.low", "best.high").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min_by("node", "id").alias("left"),
-        F.max_by("node", "id").alias("right"), *[F.sum(c).alias(c) for c in ("weight", *sums)], F.min("best.gap").alias("gap"))
+        F.max_by("node", "id").alias("right"), *[F.sum(c).alias(c) for c in ("weight", *sums)], F.min("best.gap").alias("gap")),
+        "ward-round")
+    merged = F.col("n") == 2  # both ends named the pair
+    across = paired.filter(merged).select(
+        F.col("high").alias("node"), "left", "right", F.sqrt("gap").alias("height"), F.col("weight").alias("size"))
+    state = paired.select("id", F.when(merged, F.col("high")).otherwise(F.col("left")).alias("node"), "weight", *sums)
+    return inside.unionByName(across), state, paired.count()
 
 
 def _ward_pairs(points: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, float]]:
@@ -220,13 +314,9 @@ def ward_merges(leaves: DataFrame, cut_height: float = CUT_HEIGHT) -> DataFrame:
         *[(F.col(c) * F.col("weight")).alias(s) for c, s in zip(columns, sums)])
     total = count = leaves.count()
     rounds = []
-    while count > FINISH:
-        done = materialize(_round(state, sums, count), "ward-round")
-        merged = F.col("n") == 2
-        rounds.append(done.filter(merged).select(
-            F.col("high").alias("node"), "left", "right", F.sqrt("gap").alias("height"), F.col("weight").alias("size")))
-        state = done.select("id", F.when(merged, F.col("high")).otherwise(F.col("left")).alias("node"), "weight", *sums)
-        count = done.count()
+    while count > CELL:
+        merged, state, count = _round(state, sums, count)
+        rounds.append(merged)
     rounds.append(state.groupBy(F.lit(0).alias("all")).applyInPandas(
         lambda pdf: _finish(pdf, sums), MERGES))
     merges = numbered(reduce(DataFrame.unionByName, rounds), ["height", "size", "node"], "step")

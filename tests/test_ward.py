@@ -110,7 +110,6 @@ def test_rounds_give_the_hierarchy_of_all_pairs(spark):
 
 def test_cells_ask_each_other(spark, monkeypatch):
     monkeypatch.setattr(ward, "CELL", 20)
-    monkeypatch.setattr(ward, "FINISH", 2)
     rng = np.random.default_rng(2)
     points = np.concatenate([rng.normal(size=(150, 2)), 3 + rng.exponential(size=(150, 2)) ** 2, np.round(rng.normal(size=(60, 2)))])
     merges, _ = segment(spark, points, 3)
