@@ -198,7 +198,9 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield flush(rows)
 
-    return archives.select("name").repartition("name").mapInArrow(
+    # With a number, as names are too short to keep tasks apart by size.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return archives.select("name").repartition(tasks, "name").mapInArrow(
         run, "page_id long, url string, record_type string, payload_digest string, payload_bytes long, "
              "refers_to long, payload binary")
 
@@ -210,7 +212,8 @@ def archive_pages(df: DataFrame, folder: str | None = None, id_col: str = "page_
     Of equal payloads of at least MIN_REVISIT_BYTES the one of the largest page_id
     is a response and the others, its repeated rows too, are revisits that refer
     to it; an id counts once. Smaller payloads are all responses. A null payload is
-    empty. A page without id is a response of its own and read back without id.
+    empty. A page without id is a response of its own and read back without id. An id
+    with different payloads is judged payload by payload.
     Other columns are not read. An empty table gives no rows and no archive.
     """
     spark = configure(df.sparkSession)
@@ -227,8 +230,8 @@ def archive_pages(df: DataFrame, folder: str | None = None, id_col: str = "page_
         "page_id", "digest", "size")
     kept = large.groupBy("digest", "size").agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).filter("n > 1")
     revisits = large.join(kept, ["digest", "size"]).filter("page_id != kept").select(
-        "page_id", F.col("kept").alias("refers_to")).distinct()
-    records = pages.join(revisits, "page_id", "left").select(
+        "page_id", "digest", "size", F.col("kept").alias("refers_to")).distinct()
+    records = pages.join(revisits, ["page_id", "digest", "size"], "left").select(
         "page_id", "url", "payload", "digest",
         F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type"), "refers_to")
     return read_archives(write_archives(records, folder), folder)

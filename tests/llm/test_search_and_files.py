@@ -198,3 +198,15 @@ def test_fingerprints_of_a_small_language(spark, documents):
     for group in (small, few):
         assert np.mean([out[i].near_edited for i in group]) > 0.2
         assert np.mean([out[i].near_next for i in group]) < 0.05
+
+
+def test_an_id_with_two_payloads_and_tasks_of_the_read_back(spark):
+    a, b = "a" * 2_000, "b" * 2_000
+    rows = [(1, "u", a), (1, "u", b), (9, "u", a), (9, "u", a)] + [(100 + i, "u", f"{i}" * 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12)
+    read = warc.archive_pages(df)
+    assert read.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in read.collect() if r.page_id < 100)
+    digest = {x: hashlib.sha1(x.encode()).hexdigest() for x in (a, b)}
+    assert found == sorted([(1, digest[a], "revisit", 9), (1, digest[b], "response", None),
+                            (9, digest[a], "response", None), (9, digest[a], "response", None)], key=lambda r: r[:2])
