@@ -242,7 +242,14 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
             .sortWithinPartitions("settled", "a", "b", "doc_id").mapInArrow(run, "doc_id long, at long"))
 
 
-def kept_words(df: DataFrame, window: int) -> DataFrame:
+def _left_of(raw: bytes, starts: np.ndarray, stay: np.ndarray) -> str:
+    """A text without some of its words and the white space after each of them."""
+    ends = np.append(starts[1:], len(raw))
+    runs = np.split(stay, np.flatnonzero(np.diff(stay) > 1) + 1) if len(stay) else []
+    return b"".join([raw[:starts[0]], *[raw[starts[r[0]]:ends[r[-1]]] for r in runs]]).decode()
+
+
+def kept_words(df: DataFrame, window: int, original: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, further columns) from (doc_id, copied, starts, text, further columns)."""
     carried = df.schema.fields[4:]
 
@@ -267,7 +274,12 @@ def kept_words(df: DataFrame, window: int) -> DataFrame:
                 spans = zip((found.start[first + stay] - base).tolist(), (found.end[first + stay] - base).tolist())
                 count.append(n)
                 gone.append(n - len(stay))
-                kept.append(b" ".join([raw[s:e] for s, e in spans]).decode())
+                if not original:
+                    kept.append(b" ".join([raw[s:e] for s, e in spans]).decode())
+                elif len(stay) == n:
+                    kept.append(raw.decode() if batch.column(3)[row].is_valid else None)
+                else:
+                    kept.append(_left_of(raw, found.start[first:last] - base, stay))
         return {"doc_id": batch.column(0), "n_words": count, "n_removed": gone, "kept": kept,
                 **{f.name: batch.column(4 + i) for i, f in enumerate(carried)}}
 
@@ -276,9 +288,12 @@ def kept_words(df: DataFrame, window: int) -> DataFrame:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), original: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept (words left, joined by one space), ``carry``.
 
+    With ``original``, ``kept`` is the text itself without the removed words and the white
+    space after each: one that loses nothing stays as it is, null stays null.
+
     Words are runs other than white space, unchanged. A word goes if a window of
     ``window`` words that covers it also starts in a document with a smaller id;
     windows are judged on the input. Repeated rows share an id and its text and
@@ -306,4 +321,4 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                       F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`") for c in carry])
     joined = whole.join(marks, "doc_id", "left").select("doc_id", "copied", "starts", "text", *[f"`{c}`" for c in carry])
-    return kept_words(joined, window)
+    return kept_words(joined, window, original)
