@@ -49,10 +49,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the passages that a document of a smaller id has; an emptied one stays, empty."""
-    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    changed = remove_repeats(docs, carry=carried)
-    return changed.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long")).select(*docs.columns)
+    """Texts lose the passages that a document of a smaller id has; an emptied one stays, empty.
+
+    White space outside of the passages stays, and a text without any is untouched.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    changed = remove_repeats(docs.select("doc_id", "text", F.struct(*others).alias("rest")), carry=["rest"], original=True)
+    found = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.when(
+        F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("rest.n_chars"))}
+    return changed.select(*[found.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
