@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from marketlens.functions import order_stats
 from marketlens.functions.order_stats import (
     PARTS, _value_counts, column_quantiles, histogram, part_of, quantiles, rank_descending,
 )
@@ -49,6 +50,18 @@ def test_quantiles_by_group_with_one_hot_group(spark):
         assert list(out.loc[g]) == pytest.approx(list(expected.loc[g]))
 
 
+@pytest.mark.parametrize("many", [0, 5, 10_000])
+def test_small_groups_are_sorted_whole_and_large_ones_in_parts(spark, monkeypatch, many):
+    monkeypatch.setattr(order_stats, "MANY", many)
+    data = pd.DataFrame({"g": ["a"] * 40 + ["b"] * 5 + ["c"] * 2 + ["d"], "v": [float(i * 7 % 11) for i in range(48)]})
+    rows = [*data.itertuples(index=False, name=None), ("e", None), (None, 1.0)]
+    out = quantiles(spark.createDataFrame(rows, "g string, v double"), "v", [0.0, 0.3, 0.5, 1.0], by=["g"])
+    found = {r.g: [r.q0, r.q1, r.q2, r.q3] for r in out.collect()}
+    assert set(found) == {"a", "b", "c", "d"}
+    for g, rows in data.groupby("g"):
+        assert found[g] == pytest.approx(np.quantile(rows["v"], [0.0, 0.3, 0.5, 1.0]))
+
+
 def test_quantiles_leave_out_null_groups_and_empty_input(spark):
     df = spark.createDataFrame([(None, 1.0), ("a", None), ("b", 2.0)], "g string, v double")
     assert [tuple(r) for r in quantiles(df, "v", [0.5], by=["g"]).collect()] == [("b", 2.0)]
