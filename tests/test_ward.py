@@ -117,6 +117,19 @@ def test_cells_ask_each_other(spark, monkeypatch):
     assert merges["height"].tolist() == pytest.approx(sorted(h for _, _, h in ward._ward_pairs(leaves, weights)))
 
 
+def test_cells_of_a_round_are_not_joined_into_one_task(spark, monkeypatch):
+    files = {}
+
+    def stored(df, label):
+        out = materialize(df, label)
+        files.setdefault(label, len(out.inputFiles()))
+        return out
+    monkeypatch.setattr(ward, "CELL", 50)
+    monkeypatch.setattr(ward, "materialize", stored)
+    segment(spark, np.random.default_rng(5).normal(size=(400, 2)), 3)
+    assert files["ward-own"] > 2 and files["ward-inside"] > 2
+
+
 def test_undefined_feature_counts_as_average(spark):
     names = ward.SEGMENT_FEATURES
     rows = [(f"s{i}", *[float(i + j) for j in range(5)], None if i == 0 else float(i)) for i in range(4)]
