@@ -130,6 +130,41 @@ def test_cells_of_a_round_are_not_joined_into_one_task(spark, monkeypatch):
     assert files["ward-own"] > 2 and files["ward-inside"] > 2
 
 
+def test_nearest_clusters_equal_those_of_all_pairs_also_on_ties_and_far_away():
+    rng = np.random.default_rng(6)
+    lattice = np.stack(np.meshgrid(*[np.arange(5.0)] * 3), -1).reshape(-1, 3)
+    for points, weights in [(lattice, np.ones(125)), (lattice + 1e6, rng.integers(1, 4, 125).astype(float)),
+                            (rng.normal(size=(300, 3)) * 1e-3 + 50, np.exp(rng.normal(size=300) * 5)), (np.zeros((1, 3)), np.ones(1))]:
+        gaps = ((points[:, None] - points[None]) ** 2).cumsum(2)[:, :, -1] * ward._factor(weights[:, None], weights[None])
+        np.fill_diagonal(gaps, np.inf)
+        near, gap = ward._best(points, weights, points, weights, np.arange(len(points)), np.arange(len(points)))
+        assert (gap == gaps.min(1)).all()
+        assert (near == np.where(np.isfinite(gap), gaps.argmin(1), -1)).all()
+
+
+def test_clusters_that_cannot_merge_in_their_cell_are_not_looked_at(monkeypatch):
+    asked = []
+
+    def best(asking, *rest):
+        asked.append(len(asking))
+        return found(asking, *rest)
+    found = ward._best
+    x = np.array([0.0, 1.0, 10.0, 12.0, 30.0, 34.0])
+    every = np.arange(6)
+    near, gap = found(x[:, None], np.ones(6), x[:, None], np.ones(6), every, every)
+    monkeypatch.setattr(ward, "_best", best)
+    rows = pd.DataFrame({"id": every, "node": -1 - every, "weight": 1, "s0": x, "mate": near, "own": gap, "gap": gap,
+                         "low": np.minimum(every, near), "high": np.maximum(every, near)})
+    none = ward._merge_inside(rows.assign(beyond=0.0), ["s0"])
+    assert len(none) == 6 and none["left"].isna().all() and not asked
+    one = ward._merge_inside(rows.assign(beyond=[2.0, 2.0, 0.0, 0.0, 0.0, 0.0]), ["s0"])
+    assert one["left"].notna().sum() == 1 and asked == [1]  # the merged cluster alone
+    asked.clear()
+    every_one = ward._merge_inside(rows.assign(beyond=np.inf), ["s0"])
+    assert sorted(np.sqrt(every_one["gap"][every_one["left"].notna()].astype(float))) == pytest.approx(
+        sorted(h for _, _, h in ward._ward_pairs(x[:, None], np.ones(6))))
+
+
 def test_undefined_feature_counts_as_average(spark):
     names = ward.SEGMENT_FEATURES
     rows = [(f"s{i}", *[float(i + j) for j in range(5)], None if i == 0 else float(i)) for i in range(4)]
