@@ -46,9 +46,9 @@ def logistics_distance(
 ) -> DataFrame:
     """Longest seller-to-customer distance per order, one row per order.
 
-    Coordinates are attached to the two dimensions; items are reduced to one row
-    per order and seller before they meet them. Orders without a known distance
-    keep a null.
+    Coordinates are attached to the two dimensions, and the customer's to the order, so
+    that item rows move twice: to their seller and to their order. Orders without a
+    known distance keep a null.
     """
     centroids = zip_centroids(geolocation)
 
@@ -57,12 +57,13 @@ def logistics_distance(
             key, F.col("lat").alias(f"{prefix}_lat"), F.col("lng").alias(f"{prefix}_lng")
         )
 
+    destinations = fact_orders.select("order_id", "customer_id").join(
+        located(customers, "customer_id", "customer_zip_code_prefix", "customer"), "customer_id", "left"
+    ).drop("customer_id")
     legs = (
-        items.select("order_id", "seller_id").distinct()
-        .join(fact_orders.select("order_id", "customer_id"), "order_id")
+        items.select("order_id", "seller_id")
         .join(located(sellers, "seller_id", "seller_zip_code_prefix", "seller"), "seller_id", "left")
-        .join(located(customers, "customer_id", "customer_zip_code_prefix", "customer"),
-              "customer_id", "left")
+        .join(destinations, "order_id")
     )
     distance = haversine_km(F.col("seller_lat"), F.col("seller_lng"),
                             F.col("customer_lat"), F.col("customer_lng"))
@@ -75,20 +76,20 @@ def seller_order_metrics(
     """Value, freight, distance and customer state per seller and delivered order.
 
     Items are summed per seller and order before the joins; orders, customers
-    and distances have one row per key, so no second aggregation is needed.
+    and distances have one row per key, so no second aggregation is needed. They
+    meet each other first, as orders are fewer than baskets.
     """
     baskets = items.groupBy("seller_id", "order_id").agg(
         money_sum(F.col("price")).alias("order_value"),
         money_sum(F.col("freight_value")).alias("order_freight"),
     )
-    delivered = fact_orders.where("order_status = 'delivered'").select("order_id", "customer_id")
-    return (
-        baskets.join(delivered, "order_id")
-        .join(distances.select("order_id", "distance_km"), "order_id", "left")
+    delivered = (
+        fact_orders.where("order_status = 'delivered'").select("order_id", "customer_id")
         .join(customers.select("customer_id", "customer_state"), "customer_id")
-        .select("seller_id", "order_id", "order_value", "order_freight", "distance_km",
-                "customer_state")
+        .join(distances.select("order_id", "distance_km"), "order_id", "left")
     )
+    return baskets.join(delivered, "order_id").select(
+        "seller_id", "order_id", "order_value", "order_freight", "distance_km", "customer_state")
 
 
 def seller_item_metrics(items: DataFrame, products: DataFrame) -> DataFrame:

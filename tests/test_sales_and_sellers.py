@@ -113,3 +113,25 @@ def test_segmentation_features(spark, facts, customers, items):
     assert (s.avg_order_value, s.avg_freight_ratio, s.avg_distance_km) == (10.0, 0.2, 10.0)
     # A value of zero gives no ratio; items of dropped orders still count as assortment.
     assert t.avg_freight_ratio is None and t.category_diversity == 1
+
+
+def test_item_rows_do_not_move_to_their_customer(spark, facts, customers, items):
+    geo = spark.createDataFrame(
+        [("10", 0.0, 0.0)], "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double")
+    shops = spark.createDataFrame([("s", "20")], "seller_id string, seller_zip_code_prefix string")
+    distances = spark.createDataFrame([("1", 10.0)], "order_id string, distance_km double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [df._jdf.queryExecution().executedPlan().toString().splitlines() for df in (
+            sellers.logistics_distance(items, facts, customers, shops, geo),
+            sellers.seller_order_metrics(items, facts, customers, distances))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for lines in plans:
+        depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+        moves = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(customer_id" in line]
+        assert len(moves) == 2  # orders and customers
+        for i in moves:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            assert not any("seller_id" in line for line in lines[i:end])
