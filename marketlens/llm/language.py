@@ -48,26 +48,70 @@ def word_list(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+class Trie:
+    """Beginnings of pieces as numbered nodes (0: nothing read), stepped through for many places at once."""
+
+    def __init__(self, pieces: list[str]):
+        letters = sorted({ord(x) for p in pieces for x in p})
+        self.letter = np.zeros(max(letters, default=0) + 2, np.int64)  # 0: in no piece
+        self.letter[letters] = np.arange(1, len(letters) + 1)
+        self.width = len(letters) + 1
+        steps: dict[tuple[int, int], int] = {}
+        piece = [-1]
+        for number, text in enumerate(pieces):
+            node = 0
+            for x in self.letter[[ord(x) for x in text]].tolist():
+                onward = steps.setdefault((node, x), len(piece))
+                if onward == len(piece):
+                    piece.append(-1)
+                node = onward
+            piece[node] = number
+        piece[0] = -1
+        self.piece = np.array(piece)  # that ends at the node, -1: none
+        keys = np.array([node * self.width + x for node, x in steps], np.int64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.onward = np.append(np.fromiter(steps.values(), np.int64, len(steps))[order], 0)
+
+    def letters(self, text: str) -> np.ndarray:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return self.letter[np.minimum(codes, len(self.letter) - 1)]
+
+    def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The next node of each; 0 where no piece goes on like that."""
+        asked = nodes * self.width + letters
+        at = np.searchsorted(self.keys, asked)
+        return np.where(self.keys[at] == asked, self.onward[at], 0)
+
+
 class Lattice:
-    """All piece occurrences in a list of words, ordered by where they end."""
+    """All piece occurrences in a list of words, ordered by where they end, by word and by where they start.
+
+    All places of all words are read together, a letter at a time, as long as a piece goes on like that. A letter
+    that is no piece counts as piece ``unknown``.
+    """
 
-    def __init__(self, words: list[str], ids: dict[str, int], longest: int):
+    def __init__(self, words: list[str], trie: Trie, unknown: int):
         self.marked = ["▁" + w for w in words]
-        self.length = np.array([len(w) for w in self.marked])
-        hits = []
-        get = ids.get
-        for row, word in enumerate(self.marked):
-            n = len(word)
-            for end in range(1, n + 1):
-                for start in range(max(0, end - longest), end):
-                    piece = get(word[start:end])
-                    if piece is not None:
-                        hits.append((end, row, start, piece))
-                    elif end - start == 1:
-                        hits.append((end, row, start, len(ids)))
-        hits = np.array(hits, np.int64).reshape(-1, 4)
-        hits = hits[np.argsort(hits[:, 0], kind="stable")]
-        self.end, self.row, self.start, self.piece = hits.T
+        self.length = np.array([len(w) for w in self.marked], np.int64)
+        letters = trie.letters("".join(self.marked))
+        place = np.arange(len(letters))
+        row = np.repeat(np.arange(len(self.marked)), self.length)
+        start = place - np.repeat(np.cumsum(self.length) - self.length, self.length)
+        node, size, found = trie.step(np.zeros(len(place), np.int64), letters), 1, []
+        single = trie.piece[node]
+        found.append((row, start, start + 1, np.where(single < 0, unknown, single)))
+        while len(place):
+            size += 1
+            on = (node > 0) & (start + size <= self.length[row])
+            place, row, start = place[on], row[on], start[on]
+            node = trie.step(node[on], letters[place + size - 1])
+            piece = trie.piece[node]
+            hit = piece >= 0
+            found.append((row[hit], start[hit], start[hit] + size, piece[hit]))
+        row, start, end, piece = map(np.concatenate, zip(*found))
+        order = np.lexsort((start, row, end))
+        self.end, self.row, self.start, self.piece = end[order], row[order], start[order], piece[order]
         ends = np.arange(1, int(self.length.max(initial=0)) + 2)
         self.at = np.searchsorted(self.end, ends)
 
@@ -117,7 +161,7 @@ class LanguageModel:
 
     def __post_init__(self) -> None:
         self.ids = {p: i for i, p in enumerate(self.pieces)}
-        self.longest = max(map(len, self.pieces), default=1)
+        self.trie = Trie(self.pieces)
         self._known: dict[str, int] = {}
         self._scores = np.zeros((0, len(self.languages)))
 
@@ -133,7 +177,7 @@ class LanguageModel:
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
             first = len(self._known)
-            likelihood = Lattice(part, self.ids, self.longest).likelihood(self.probs)
+            likelihood = Lattice(part, self.trie, len(self.pieces)).likelihood(self.probs)
             self._scores[first:first + len(part)] = np.log(np.maximum(likelihood, 1e-300))
             self._known.update(zip(part, range(first, first + len(part))))
 
@@ -200,7 +244,7 @@ def fit(labelled: DataFrame, pieces: list[str] | None = None,
             rows = {"lang": [], "piece": [], "uses": []}
             for k in np.unique(langs):
                 own = np.flatnonzero(langs == k)
-                lattice = Lattice([words[i] for i in own], model.ids, model.longest)
+                lattice = Lattice([words[i] for i in own], model.trie, len(model.pieces))
                 uses = lattice.expected(model.probs[:, [k]], n[own].astype(float))[:-1, 0]
                 used = np.flatnonzero(uses)
                 rows["lang"].append(np.full(len(used), k))

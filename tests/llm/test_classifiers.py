@@ -36,6 +36,29 @@ def test_forward_sums_all_segmentations():
     assert twice == pytest.approx(2 * model.log_likelihood(["ab"])[0] + model.log_likelihood(["a"])[0])
 
 
+def test_words_are_read_only_as_far_as_a_piece_goes_on(monkeypatch):
+    asked, step = [], language.Trie.step
+
+    def counted(self, nodes, letters):
+        asked.append(len(nodes))
+        return step(self, nodes, letters)
+    monkeypatch.setattr(language.Trie, "step", counted)
+    pieces = ["▁", "a", "▁a", "ab", "abab", "b" * 30, "é"]
+    words = ["abab", "a" * 40, "zé\U00020000a", "ba"]
+    lattice = language.Lattice(words, language.Trie(pieces), len(pieces))
+    places = sum(map(len, words)) + len(words)
+    assert asked[0] == places and sum(asked) < 3 * places  # and not once for every length up to 30
+    want = []
+    for row, word in enumerate("▁" + w for w in words):
+        for start in range(len(word)):
+            for end in range(start + 1, len(word) + 1):
+                if word[start:end] in pieces:
+                    want.append((end, row, start, pieces.index(word[start:end])))
+                elif end == start + 1:
+                    want.append((end, row, start, len(pieces)))
+    assert list(zip(lattice.end, lattice.row, lattice.start, lattice.piece)) == sorted(want)
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     pieces = language.vocabulary()
     probs = np.random.default_rng(1).dirichlet(np.ones(len(pieces) + 1), 2).T
