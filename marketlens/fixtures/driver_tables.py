@@ -137,14 +137,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sellers(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
+    """Raw sellers; ``items`` are the raw order items or a stored copy with their sellers."""
     nation = source(spark, sf_dir, "nation")
     supplier = source(spark, sf_dir, "supplier")
     home = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         "s_suppkey", "s_nationkey", "n_name"
     )
     ids = (
-        order_items(spark, sf_dir).select("seller_id").distinct()
+        (order_items(spark, sf_dir) if items is None else items).select("seller_id").distinct()
         .withColumn("suppkey", F.substring_index("seller_id", "-", 1).cast("long"))
     )
     return ids.join(home, ids.suppkey == home.s_suppkey).selectExpr(

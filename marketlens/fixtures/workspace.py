@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.fixtures.driver_tables import RAW_TABLES, source
+from marketlens.fixtures.driver_tables import sellers as sellers_of_items
 from marketlens.operators import (
     activity, cleaning, clustering, fairness, features, sales, scoring, segments, sellers,
     warehouse,
@@ -64,7 +65,8 @@ class Workspace:
 
     @cached_property
     def sellers(self) -> DataFrame:
-        return warehouse.dim_sellers(self.raw("sellers"))
+        # Stored items know their sellers; raw ones would be joined with their orders once more.
+        return warehouse.dim_sellers(sellers_of_items(self.spark, self.sf_dir, self.items))
 
     @cached_property
     def dim_products(self) -> DataFrame:

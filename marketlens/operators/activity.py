@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.columns import floor_days
@@ -12,8 +12,8 @@ from marketlens.functions.order_stats import quantiles
 from marketlens.rules import CHURN_THRESHOLDS_DAYS, FREQUENCY_QUANTILES, ActivityRules
 
 
-def seller_lifetime(rows: DataFrame) -> DataFrame:
-    """First and last sale, orders, recency and tenure per seller.
+def seller_lifetime(rows: DataFrame, **more: Column) -> DataFrame:
+    """First and last sale, orders, recency and tenure per seller, and ``more`` aggregates from the same pass.
 
     Days count back from the newest purchase of the whole table.
     """
@@ -23,6 +23,7 @@ def seller_lifetime(rows: DataFrame) -> DataFrame:
             F.min("order_purchase_timestamp").alias("first_sale_date"),
             F.max("order_purchase_timestamp").alias("last_sale_date"),
             F.count_distinct("order_id").alias("total_orders"),
+            *[measure.alias(name) for name, measure in more.items()],
         ).withColumns({
             "days_since_last_sale": floor_days(newest, F.col("last_sale_date")),
             "days_since_first_sale": floor_days(newest, F.col("first_sale_date")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.columns import elapsed_seconds, known, money_sum
@@ -40,13 +40,22 @@ def seller_ops(operations: DataFrame) -> DataFrame:
     )
 
 
-def seller_scale(judged: DataFrame) -> DataFrame:
-    """Revenue, orders and mean adjusted score per seller."""
+def scale_measures() -> dict[str, Column]:
+    """Revenue and mean adjusted score, as aggregates of judged rows."""
+    return {"gmv": money_sum(F.col("price")), "avg_rating": F.avg("adjusted_review_score")}
+
+
+def seller_scale(judged: DataFrame, lifetime: DataFrame | None = None) -> DataFrame:
+    """Revenue, orders and mean adjusted score per seller.
+
+    A ``lifetime`` that was made of the judged rows with ``scale_measures`` holds them already: only its sellers
+    count, and the rows are not read again.
+    """
+    if lifetime is not None:
+        return lifetime.select("seller_id", "gmv", "total_orders", "avg_rating")
+    gmv, rating = (measure.alias(name) for name, measure in scale_measures().items())
     return judged.where("seller_id is not null").groupBy("seller_id").agg(
-        money_sum(F.col("price")).alias("gmv"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.avg("adjusted_review_score").alias("avg_rating"),
-    )
+        gmv, F.count_distinct("order_id").alias("total_orders"), rating)
 
 
 def joined_features(scale: DataFrame, ops: DataFrame) -> DataFrame:

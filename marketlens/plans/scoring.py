@@ -17,13 +17,14 @@ def scored_sellers(evaluation: DataFrame, rules: ActivityRules = ActivityRules()
     """Active sellers with features, score and tier, from stored evaluation rows.
 
     Rows are reduced to one per seller before inactive sellers are left out, so
-    the filter never moves item rows.
+    the filter never moves item rows. Lifetime and scale come from one pass, as both
+    count distinct orders, the step that moves most.
     """
-    active = activity.active_sellers(activity.seller_lifetime(evaluation), rules)
-    scale = features.seller_scale(fairness.with_adjusted_score(evaluation))
+    judged = fairness.with_adjusted_score(evaluation)
+    active = activity.active_sellers(activity.seller_lifetime(judged, **features.scale_measures()), rules)
     ops = features.seller_ops(features.with_operations(evaluation))
     joined = materialize(
-        features.joined_features(activity.rows_of(scale, active), ops), "seller-features")
+        features.joined_features(features.seller_scale(judged, active), ops), "seller-features")
     complete = features.log_features(features.seller_features(joined))
     scored = materialize(scoring.seller_score(complete), "seller-scores")
     return materialize(scoring.score_tier(scored), "seller-tiers")

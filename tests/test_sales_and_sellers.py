@@ -5,7 +5,7 @@ from datetime import date, datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import haversine_km
+from marketlens.functions.columns import cents, haversine_km, money_sum
 from marketlens.operators import sales, sellers
 
 
@@ -78,6 +78,29 @@ def test_evaluation_repeats_items_per_review(spark, items):
     assert len(out.columns) == 14
 
 
+def test_money_is_rounded_as_decimals_and_summed_as_longs(spark):
+    values = [0.0, 0.005, 0.015, 1.005, 2.675, -0.005, -1.115, 0.1 + 0.2, 19.99, 1e9 + 0.015, 123456789012.345, 1e13 + 0.25, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    amount = F.col("v")
+    for r in df.select("v", cents(amount).alias("c"), amount.cast("decimal(18,2)").alias("d")).collect():
+        assert r.c == (None if r.d is None else int(r.d * 100)), r.v
+    for some in (df, df.where("abs(v) < 1e9"), df.where("v is null"), df.unionAll(df.select(F.lit(9e13)))):
+        total = some.agg(money_sum(amount).alias("now"), F.sum(amount.cast("decimal(18,2)")).cast("double").alias("plain")).first()
+        assert total.now == total.plain
+    plan = df.groupBy().agg(money_sum(amount))._jdf.queryExecution().executedPlan().toString()
+    assert "decimal(28,2)" not in plan and "partial_sum" in plan
+
+
+def test_sellers_come_from_stored_items_where_there_are_some(spark, tmp_path):
+    from marketlens.fixtures import driver_tables
+
+    spark.createDataFrame([(1, "PERU")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(7, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    items = spark.createDataFrame([("7-1",), ("7-1",), ("7-p14",), ("8-1",), (None,)], "seller_id string")
+    found = driver_tables.sellers(spark, str(tmp_path), items).orderBy("seller_id").collect()  # there are no lines to read
+    assert [tuple(r) for r in found] == [("7-1", "10004", "city7", "PERU"), ("7-p14", "10004", "city7", "PERU")]
+
+
 def test_haversine(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0), (0.0, 0.0, 0.0, 0.0), (None, 0.0, 0.0, 0.0)],
                                "a double, b double, c double, d double")

@@ -124,6 +124,30 @@ def test_scale_counts_items_once_per_review(spark):
     assert tuple(features.seller_scale(df).first()) == ("a", 3.0, 2, 4.0)
 
 
+def test_lifetime_and_scale_share_the_pass_that_counts_orders(spark, monkeypatch):
+    import re
+
+    from marketlens.plans import scoring as plan
+    from marketlens.session import materialize
+
+    evaluation = materialize(rows(spark, *[
+        sale(f"s{i % 6}", f"o{i % 9}", i, price=10.0 + i, review_score=float(i % 5 + 1)) for i in range(40)]), "evaluation")
+    plans = {}
+
+    def stored(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, label)
+    monkeypatch.setattr(plan, "materialize", stored)
+    try:
+        plan.scored_sellers(evaluation)
+    except Exception:  # tiers of so few sellers need not exist
+        pass
+    assert len(re.findall(r"hashpartitioning\(seller_id#\d+, order_id#", plans["seller-features"])) == 1
+    judged = fairness.with_adjusted_score(evaluation)
+    lifetime = activity.seller_lifetime(judged, **features.scale_measures())
+    assert sorted(features.seller_scale(judged, lifetime).collect()) == sorted(features.seller_scale(judged).collect())
+
+
 def test_filtering_sellers_after_the_aggregate_equals_filtering_rows(spark):
     df = fairness.with_adjusted_score(rows(
         spark, *[sale(s, str(i), i, review_score=float(i % 5 + 1)) for i, s in enumerate("abcabca")]))
