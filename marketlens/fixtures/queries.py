@@ -11,6 +11,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.fixtures.driver_tables import sellers as sellers_of_items
 from marketlens.fixtures.workspace import Workspace
 from marketlens.functions import order_stats, scaling, text
 from marketlens.operators import (
@@ -100,7 +101,9 @@ def load_row_counts(w):
     """Rows of every table that the three load runs store, from the raw tables on."""
     lake = fresh_lake(w)
     for name in RAW_SCHEMAS:
-        lake.write(w.raw(name), "raw_data", name)
+        if name != "sellers":
+            lake.write(w.raw(name), "raw_data", name)
+    lake.write(sellers_of_items(w.spark, w.sf_dir, lake.read("raw_data", "order_items")), "raw_data", "sellers")
     counts = staging_plan.run_cleaning(lake) | warehouse_plan.run_transformation(lake) | aggregate_plan.run_aggregation(lake)
     layers = dict.fromkeys(counts, "warehouse") | dict.fromkeys(
         [*staging_plan.COPIES.values(), *[n for n in counts if n.endswith("_cleaned")]], "staging")
