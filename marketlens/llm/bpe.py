@@ -1,7 +1,7 @@
 """Byte-level BPE encoding by tree concatenation, and decoding.
 
 Text is cut where that changes nothing: at white space after a word. The pieces
-are short and repeat, so a task remembers them. Longer text without such a
+are short and repeat, so a batch encodes each distinct one once. Longer text without such a
 place is halved into leaves, the leaves are encoded in parallel, and neighbours
 are joined in a tree. At each join a window of tokens around the seam is encoded
 anew and grows until it agrees with both sides: one token to the left and one to
@@ -23,18 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.words import configure, keyed_texts, map_batches
+from marketlens.llm.words import configure, keyed_texts, map_batches, utf8
 
 LEAF_CHARS = 2_048        # longest text encoded in one go
 LONG_CHARS = 1 << 20      # a longer text is spread over tasks in parts of this size
 FIRST_WINDOW = 16         # tokens on each side of a seam at first
-MAX_KNOWN = 250_000       # pieces a task remembers
+MAX_KNOWN = 250_000       # pieces a task remembers, of those that stand alone
 
 # Texts of these characters only: blank and line feed are their only white space.
 _PLAIN = re.compile(r"[\x21-\x7e \n¡-ɏ]*")
 # Fixed value: how byte-level vocabularies cut text into pre-tokens.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -104,37 +103,63 @@ class Coder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; the pieces that are new are encoded together."""
-        cut = [_PIECE.findall(t) if _PLAIN.fullmatch(t) else None for t in texts]
-        known = self._known
-        new = {p for pieces in cut if pieces for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > MAX_KNOWN:
-                known = self._known = {}
-                new = {p for pieces in cut if pieces for p in pieces}
-            self._learn(list(new))
-        return [self._encode_any(t) if pieces is None else b"".join([known[p] for p in pieces])
-                for t, pieces in zip(texts, cut)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        known = self._known
-        # pieces that begin with white space and end without may stand in one text
-        chain = [p for p in pieces if self.quick and p[0] in " \n" and p[-1] not in " \n"
-                 and "<" not in p and len(p) <= self.leaf_chars]
-        if chain:
-            ids = self.quick.encode_to_numpy("".join(chain), disallowed_special=()).astype("<u4")
-            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(p.encode()) for p in chain])) + 1
-            raw, at = ids.tobytes(), 0
-            for piece, end in zip(chain, (4 * ends).tolist()):
-                known[piece] = raw[at:end]
-                at = end
-        rest = [p for p in pieces if p not in known]
-        short = [p for p in rest if len(p) <= self.leaf_chars]
+        """Ids of each text; pieces are told apart without a Python object each, and each distinct one is encoded once."""
+        plain = [bool(_PLAIN.fullmatch(t)) for t in texts]
+        found = iter(self._encode_plain([t for t, own in zip(texts, plain) if own]))
+        return [next(found) if own else self._encode_any(t) for t, own in zip(texts, plain)]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        data, offsets = utf8(pa.array(texts, pa.large_string()))
+        data = data[:offsets[-1]]
+        if not len(data):
+            return [b""] * len(texts)
+        blank = (data == 32) | (data == 10)
+        begins = blank.copy()
+        begins[1:] &= ~blank[:-1]
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)]).dictionary_encode()
+        distinct = pieces.dictionary
+        # Pieces that begin with white space and end without may stand in one text.
+        lengths = np.zeros(len(distinct), np.int64)
+        chained = np.zeros(len(distinct), bool)
+        if self.quick:
+            which = pieces.indices.to_numpy()
+            fits = blank[starts] & ~blank[ends - 1] & (ends - starts <= self.leaf_chars)
+            fits[np.searchsorted(starts, np.flatnonzero(data == ord("<")), "right") - 1] = False
+            chained[which] = fits
+            lengths[which] = ends - starts
+        chain = distinct.filter(pa.array(chained))
+        text = b"".join(chain.to_pylist()).decode()
+        ids = self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4") if text else np.zeros(0, "<u4")
+        stops = 4 * (np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(lengths[chained])) + 1)
+        rest = self._encode_rest([p.decode() for p in distinct.filter(pa.array(~chained)).to_pylist()])
+        stops = np.append(stops, len(ids) * 4 + np.cumsum([len(r) for r in rest], dtype=np.int64)).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(distinct), [
+            None, pa.py_buffer(np.append(0, stops)), pa.py_buffer(ids.tobytes() + b"".join(rest))])
+        place = np.empty(len(distinct), np.int64)
+        place[np.append(np.flatnonzero(chained), np.flatnonzero(~chained))] = np.arange(len(distinct))
+        every = coded.take(pa.array(place[pieces.indices.to_numpy()]))
+        _, bounds, raw = every.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[every.offset:every.offset + len(every) + 1]
+        at = bounds[np.searchsorted(starts, offsets)].tolist()
+        raw = memoryview(raw) if raw is not None else b""
+        return [bytes(raw[a:b]) for a, b in zip(at, at[1:])]
+
+    def _encode_rest(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that stand alone; the task remembers them."""
+        new = [p for p in pieces if p not in self._known]
+        if len(self._known) + len(new) > MAX_KNOWN:
+            self._known, new = {}, pieces
+        short = [p for p in new if len(p) <= self.leaf_chars]
         for piece, ids in zip(short, self._direct(short)):
-            known[piece] = ids.tobytes()
-        for piece in rest:
+            self._known[piece] = ids.tobytes()
+        for piece in new:
             if len(piece) > self.leaf_chars:
-                known[piece] = self._encode_any(piece)
+                self._known[piece] = self._encode_any(piece)
+        return [self._known[p] for p in pieces]
 
     # Long texts without a place to cut, and texts of other characters.
     def _encode_any(self, text: str) -> bytes:

@@ -93,3 +93,17 @@ def test_pack_rows(documents):
         assert spans[0][0] == 0 and sum(n for _, n in spans) <= 1024
         assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
     assert len(places) <= -(-sum(r.length for r in out) // 1024) + 1
+
+
+def test_distinct_pieces_are_encoded_once_a_batch_without_an_entry_each():
+    own = bpe.Coder(bpe.tokenizer_path())
+    texts = ["", " ", "\n\n", "one two  three\n\n four ", " two two don't 12 34 !!\n", "a<|endoftext|>b <|endoftext|> <p> two",
+             "x" * 5_000 + " y", "y" + " " * 3_000, "é ñ¡ \nü", "日本 two", "a b\tc"]
+    texts += [f"one w{i} w{i % 7} two\nw{i}" for i in range(500)]
+    want = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for batch in (texts, texts[3:4], texts[:1], texts[9:10]):
+        got = [np.frombuffer(raw, "<u4").tolist() for raw in own.encode_all(batch)]
+        assert got == want[texts.index(batch[0]):][:len(batch)]
+    assert own.encode_all([]) == []
+    # Only pieces at the start or end of a text, overlong ones and those with "<" are remembered one by one.
+    assert not [p for p in own._known if p in (" two", " w7", "\nw7")] and len(own._known) < 30
