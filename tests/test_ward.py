@@ -142,6 +142,52 @@ def test_nearest_clusters_equal_those_of_all_pairs_also_on_ties_and_far_away():
         assert (near == np.where(np.isfinite(gap), gaps.argmin(1), -1)).all()
 
 
+def test_a_search_looks_only_at_blocks_that_reach_near(monkeypatch):
+    monkeypatch.setattr(ward, "BLOCK", 16)
+    monkeypatch.setattr(ward, "FEW", 0)
+    looked = []
+
+    def counted(asking, weights, centres, *rest):
+        looked.append(len(asking) * len(centres))
+        return direct(asking, weights, centres, *rest)
+    direct = ward._best_of_all
+    monkeypatch.setattr(ward, "_best_of_all", counted)
+    rng = np.random.default_rng(7)
+    every = np.arange(2_000)
+    for points, weights in [(rng.normal(size=(2_000, 2)), np.ones(2_000)), (np.round(rng.normal(size=(2_000, 2)), 1), np.ones(2_000)),
+                            (rng.exponential(size=(2_000, 2)) ** 3, rng.integers(1, 50, 2_000).astype(float))]:
+        near, gap = direct(points, weights, points, weights, 3 * every, every)
+        looked.clear()
+        found = ward._best(points, weights, points, weights, 3 * every, every)
+        assert (found[0] == near).all() and (found[1] == gap).all()
+        assert sum(looked) < 2_000 * 2_000 / 4
+        outside, sizes = rng.normal(size=(500, 2)) * 2, rng.integers(1, 9, 500).astype(float)
+        near, gap = direct(outside, sizes, points, weights, 3 * every)
+        far = gap * rng.uniform(0, 2, 500)
+        found = ward._best(outside, sizes, points, weights, 3 * every, within=far)
+        inside = gap <= far
+        assert (found[0][inside] == near[inside]).all() and (found[1][inside] == gap[inside]).all()
+        # Beyond, nobody or the nearest is named, and no cluster comes below the height.
+        assert np.isin(found[0][~inside], [-1, *near[~inside]]).all()
+        assert (found[1][~inside] <= gap[~inside]).all() and (found[1][~inside] > far[~inside]).all()
+
+
+def test_the_last_clusters_are_merged_in_one_round(spark, monkeypatch):
+    counts = []
+
+    def counted(*args):
+        out = around(*args)
+        counts.append(out[2])
+        return out
+    around = ward._round
+    monkeypatch.setattr(ward, "_round", counted)
+    monkeypatch.setattr(ward, "CELL", 200)
+    points = np.random.default_rng(8).normal(size=(480, 2))
+    merges, _ = segment(spark, points, 3)
+    assert counts == [1]
+    assert merges["height"].tolist() == pytest.approx(sorted(h for _, _, h in ward._ward_pairs(points, np.ones(480))))
+
+
 def test_clusters_that_cannot_merge_in_their_cell_are_not_looked_at(monkeypatch):
     asked = []
 
