@@ -45,8 +45,9 @@ def find_topics(comments: DataFrame, text: Column, rules: TopicRules, seed: int
         raise ValueError("no terms remain, lower min_df or raise max_df")
     bags = materialize(topics.bag_of_words(
         prepared, "cleaned", index, rules.stop_words, "_document").withColumnRenamed("_document", "document"), "topic-bags")
-    model = topic_model.fit_topics(bags, rules.topics, seed)
-    weights = topic_model.document_weights(bags, model).withColumnRenamed("document", "_document")
+    blocks = topic_model.in_blocks(bags)
+    model = topic_model.fit_topics(blocks, rules.topics, seed)
+    weights = topic_model.document_weights(blocks, model).withColumnRenamed("document", "_document")
     even = F.array(*[F.lit(1.0 / rules.topics)] * rules.topics)  # a comment without terms leans to no topic
     weighted = prepared.join(weights, "_document", "left").drop("_document").withColumn(
         "topic_weights", F.coalesce("topic_weights", even))

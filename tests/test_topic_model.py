@@ -82,6 +82,31 @@ def test_rounds_equal_a_dense_computation_and_the_bound_rises(spark):
     assert sorted(names) == [0, 1, 2] and agreed.mean() > 0.85
 
 
+def test_documents_are_settled_alike_in_chunks_of_any_size(monkeypatch):
+    _, counts = corpus(np.random.default_rng(3), documents=90)
+    known = np.random.default_rng(4).dirichlet([0.3] * counts.shape[1], 3).T
+    doc, term = np.nonzero(counts)
+    expected = naive_settle(counts, known, 1 / 3)
+    for rows in (1, 7, 100, 1 << 17):
+        monkeypatch.setattr(topic_model, "CHUNK_ROWS", rows)
+        assert topic_model.settle(doc, counts[doc, term].astype(float), known[term], 1 / 3) == pytest.approx(expected, rel=1e-9)
+
+
+def test_a_block_is_one_row_that_fit_and_weights_share(spark):
+    _, counts = corpus(np.random.default_rng(5))
+    table = bags(spark, counts)
+    blocks = topic_model.in_blocks(table)
+    rows = blocks.packed.collect()
+    assert len(rows) == len({r.block for r in rows}) <= blocks.count
+    assert sorted(d for r in rows for d in r.documents) == [i * 10 for i in range(len(counts)) if counts[i].any()]
+    assert sum(np.frombuffer(r.counts, np.int64).sum() for r in rows) == counts.sum()
+    model, same = topic_model.fit_topics(blocks, 3, rounds=3), topic_model.fit_topics(table, 3, rounds=3)
+    assert model.bounds == pytest.approx(same.bounds, rel=1e-12)
+    got, expected = (topic_model.document_weights(b, model).orderBy("document").collect() for b in (blocks, table))
+    assert [r.document for r in got] == [r.document for r in expected]
+    assert np.array([r.topic_weights for r in got]) == pytest.approx(np.array([r.topic_weights for r in expected]), rel=1e-9)
+
+
 def test_index_and_vectors(spark):
     df = spark.createDataFrame([(1, "bb aa bb"), (2, "cc"), (3, ""), (4, None), (5, "aa zz")], "document long, t string")
     index = topics.term_index(topics.vocabulary(df, "t", max_df=1.0).filter("term <> 'zz'"))
