@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens.fixtures import driver_tables
@@ -21,6 +23,27 @@ def test_stored_tables_are_packed_and_read_back(spark):
     assert out.count() == 1000 and all(f.endswith(".zstd.parquet") for f in out.inputFiles())
 
 
+def test_files_of_exchanges_go_with_their_step(spark, tmp_path):
+    if not spark.sparkContext.master.startswith("local["):
+        pytest.skip("the executors' folders are elsewhere")
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(f.getName()) for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles())
+                if f.getName().startswith("shuffle_")}
+
+    before = files()
+    out = materialize(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "test-exchange")
+    assert out.count() == 100
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    again = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    assert len(again.collect()) == len(again.collect()) == again.count() == 100  # a result can be asked for again
+
+
 def test_times_of_raw_orders_by_hand_and_without_calendar_functions(spark, tmp_path):
     day = datetime(1995, 3, 1)
     keys = [1, 2, 37, 97, 101, 103, 211, None]
