@@ -2,7 +2,9 @@
 
 All fits (every k, several restarts) are one family: a pass over the points assigns
 each point under every fit and adds up the new centres of all of them, so the number of
-jobs is that of the longest fit. Starts come from a sample of fixed size.
+jobs is that of the longest fit. Matrix products tell which centre is nearest while centres
+move; costs and labels of the centres they come to are worked out by differences. Starts come
+from a sample of fixed size.
 
 Quality needs few more passes: sums per cluster give the Davies-Bouldin index and the
 silhouette on squared distances; the plain silhouette is bounded from both sides by
@@ -54,6 +56,13 @@ def _gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def _products(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances by a matrix product, off by its rounding; not below zero."""
+    gap = np.column_stack([x, (x * x).sum(1), np.ones(len(x))]) @ np.column_stack(
+        [-2 * centres, np.ones(len(centres)), (centres * centres).sum(1)]).T
+    return np.maximum(gap, 0, out=gap)
+
+
 def _start(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     """Centres far apart, by weighted draws, then moved until they rest on the sample."""
     rng = np.random.default_rng(seed)
@@ -109,49 +118,56 @@ def fit_family(points: DataFrame, columns: Sequence[str], ks: Sequence[int], see
     sums = ", ".join(f"s{i} double" for i in range(width))
 
     def step(fits: list[int]) -> pd.DataFrame:
-        """(fit, centre, n, cost, sums) of the points under some fits."""
-        active = [centres[f] for f in fits]
-        edges = np.concatenate([[0], np.cumsum([len(c) for c in active])])
-        every = np.vstack(active)
-        fit_of = np.repeat(fits, np.diff(edges))
-        number = np.concatenate([np.arange(len(c)) for c in active])
+        """(fit, centre, n, sums) of the points under some fits."""
+        alike = [(k, [f for f in fits if ks[f] == k]) for k in sorted({ks[f] for f in fits})]
+        every = [np.array([centres[f] for f in own]).swapaxes(0, 1) for _, own in alike]  # centre, fit, axis
+        fit_of = np.concatenate([np.tile(own, k) for k, own in alike])
+        number = np.concatenate([np.repeat(np.arange(k), len(own)) for k, own in alike])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, cost = np.zeros((len(every), width + 1)), np.zeros(len(every))
-            for _, x in _chunks(batches, columns, len(every)):
-                gap = _gaps(x, every)
-                rows, mine = np.arange(len(x)), np.zeros(gap.shape)
-                for first, last in zip(edges[:-1], edges[1:]):
-                    mine[rows, first + gap[:, first:last].argmin(1)] = 1
-                total += mine.T @ np.column_stack([np.ones(len(x)), x])
-                cost += (mine * gap).sum(0)
+            total = [np.zeros((k * len(own), width + 1)) for k, own in alike]
+            for _, x in _chunks(batches, columns, len(fit_of)):
+                held = np.column_stack([x, np.ones(len(x))])
+                for into, own in zip(total, every):
+                    k, some, _ = own.shape
+                    flat = own.reshape(-1, width)
+                    # Squared distances but for the point's own length, which is the same for all centres.
+                    gap = (np.column_stack([-2 * flat, (flat * flat).sum(1)]) @ held.T).reshape(k, some, -1)
+                    mine = gap == gap.min(0)
+                    if np.count_nonzero(mine) > some * len(x):  # the first on ties
+                        mine = np.arange(k)[:, None, None] == gap.argmin(0)
+                    into += mine.reshape(k * some, -1).astype(float) @ held
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fit_of), pa.array(number), *[pa.array(v) for v in total.T], pa.array(cost)],
-                names=["fit", "centre", "n", *[f"s{i}" for i in range(width)], "cost"])
+                [pa.array(fit_of), pa.array(number), *[pa.array(v) for v in np.concatenate(total).T]],
+                names=["fit", "centre", *[f"s{i}" for i in range(width)], "n"])
 
-        added = points.select(*columns).mapInArrow(add, f"fit long, centre long, n double, {sums}, cost double")
+        added = points.select(*columns).mapInArrow(add, f"fit long, centre long, {sums}, n double")
         return added.groupBy("fit", "centre").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(width)]).toPandas()
+            F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(width)]).toPandas()
+
+    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(ks))
+        for _, x in _chunks(batches, columns, max(ks)):
+            total += [_gaps(x, c).min(1).sum() for c in centres]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(ks))), pa.array(total)], names=["fit", "cost"])
 
-    costs: dict[int, float] = {}
     active = list(range(len(ks)))
-    for turn in range(passes):
+    for _ in range(passes - 1):  # the last one is that of the costs
         found = step(active)
         resting = []
         for f, own in found.groupby("fit"):
             own = own.sort_values("centre")
             n = own["n"].to_numpy()[:, None]
             moved = np.where(n > 0, own[[f"s{i}" for i in range(width)]].to_numpy() / np.maximum(n, 1), centres[f])
-            costs[f] = own["cost"].sum()  # of the centres before this move
-            if ((moved - centres[f]) ** 2).sum() <= SHIFT or turn == passes - 1:
+            if ((moved - centres[f]) ** 2).sum() <= SHIFT:
                 resting.append(f)
             else:
                 centres[f] = moved
         active = [f for f in active if f not in resting]
         if not active:
             break
-    return [Fit(k, centres[f], float(costs[f])) for f, k in enumerate(ks)]
+    costs = points.select(*columns).mapInArrow(cost, "fit long, cost double").groupBy("fit").agg(F.sum("cost").alias("cost")).toPandas()
+    return [Fit(k, c, float(v)) for k, c, v in zip(ks, centres, costs.sort_values("fit")["cost"])]
 
 
 def with_labels(points: DataFrame, columns: Sequence[str], fits: Sequence[Fit]) -> DataFrame:
@@ -306,15 +322,15 @@ def _bounded(points: DataFrame, columns: list[str], labels: list[str], plan: tup
         n = own["n"].to_numpy()
         mean = own[[f"s{j}" for j in range(width)]].to_numpy() / n[:, None]
         spread = np.maximum(own["square"].to_numpy() / n - (mean ** 2).sum(1), 0)
-        _, first = np.unique(own["cluster"].to_numpy(), return_index=True)
-        parts.append((mean, np.where(n > 1, spread, 0.0), n, first))
+        held = np.where(own["cluster"].to_numpy()[:, None] == np.arange(len(clusters[i].n)), n[:, None], 0.0)  # by cluster
+        parts.append((mean, np.where(n > 1, spread, 0.0), held))
 
     def add_bounds(x, label, i, sums):
-        mean, spread, n, first = parts[i]
+        mean, spread, held = parts[i]
         size = clusters[i].n
-        gap = _gaps(x, mean)
-        low = np.add.reduceat(np.sqrt(gap) * n, first, axis=1)
-        high = np.add.reduceat(np.sqrt(gap + spread) * n, first, axis=1)
+        gap = _products(x, mean)
+        high = np.sqrt(gap + spread) @ held
+        low = np.sqrt(gap, out=gap) @ held
         rows = np.arange(len(x))
         mine = size[label]
         own_low, own_high = (v[rows, label] / np.maximum(mine - 1, 1) for v in (low, high))
@@ -327,7 +343,7 @@ def _bounded(points: DataFrame, columns: list[str], labels: list[str], plan: tup
         alone = mine < 2
         _add(sums, (i,), np.array([np.where(alone, 0, lower).sum(), np.where(alone, 0, upper).sum(), len(x)], float))
 
-    widest = max(len(p[2]) for p in parts)
+    widest = max(len(p[1]) for p in parts)
     found = _tally(points, columns, labels, widest, add_bounds, ["fit"], ["lower", "upper", "n"]).sort_values("fit")
     out = []
     for (_, row), own in zip(found.iterrows(), clusters):

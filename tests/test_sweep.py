@@ -72,6 +72,36 @@ def test_family_costs_and_centres(spark):
     assert many[0].cost > 0
 
 
+def test_passes_take_no_distances_by_differences(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(150, 3)) + c for c in (0, 5, 9)] + [np.ones((40, 3))])
+    points, columns, ks = stored(spark, x), ["x0", "x1", "x2"], [2, 3, 2, 5, 1]
+    dear, gaps = spark.sparkContext.accumulator(0), sweep._gaps
+
+    def counted(x, centres):
+        dear.add(len(x) * len(centres))
+        return gaps(x, centres)
+
+    def start(sample, k, seed):  # at some of the points, two of them alike
+        return sample[[0, 0, 100, 200, 300][:k]]
+
+    monkeypatch.setattr(sweep, "_start", start)
+    monkeypatch.setattr(sweep, "_gaps", counted)
+    fits = sweep.fit_family(points, columns, ks)
+    assert dear.value == len(x) * sum(ks)  # the costs at the end, once
+    for f in fits:
+        # Plain Lloyd steps from the same centres.
+        centres = start(sweep.sample_points(points, columns), f.k, 0)
+        while True:
+            label = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+            moved = np.array([x[label == c].mean(0) if (label == c).any() else centres[c] for c in range(f.k)])
+            if ((moved - centres) ** 2).sum() <= sweep.SHIFT:
+                break
+            centres = moved
+        assert f.centres == pytest.approx(centres, abs=1e-9)
+        assert f.cost == pytest.approx(((x[:, None] - centres[None]) ** 2).sum(2).min(1).sum())
+
+
 def test_fewer_points_than_clusters(spark):
     x = np.array([(0.0, 0.0)] * 3 + [(1.0, 1.0)])
     out = sweep.kmeans_sweep(stored(spark, x), ["x0", "x1"], ks=(2, 3), restarts=2).collect()
