@@ -31,9 +31,10 @@ def run_aggregation(lake: Lake) -> dict[str, int]:
     store("seller_evaluation", sellers.seller_evaluation(items, facts, staged_reviews))
     store("logistics_analytics", sellers.logistics_distance(
         items, facts, customers, read("dim_sellers"), lake.read("staging", "geolocation")))
+    # Stored first, so that the exchanges of both sides do not lie on disk together.
+    item_metrics = materialize(sellers.seller_item_metrics(items, products), "item-metrics")
     store("seller_segmentation", sellers.seller_segmentation(
-        sellers.seller_order_metrics(items, facts, customers, read("logistics_analytics")),
-        sellers.seller_item_metrics(items, products)))
+        sellers.seller_order_metrics(items, facts, customers, read("logistics_analytics")), item_metrics))
     store("nlp_bad_review", reviews.bad_reviews(staged_reviews))
     store("nlp_good_review", reviews.good_reviews(staged_reviews))
     return counts

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.fixtures.driver_tables import RAW_TABLES
+from marketlens.fixtures.workspace import Workspace
 from marketlens.plans.aggregates import run_aggregation
 from marketlens.plans.scoring import run_scoring
 from marketlens.plans.staging import run_cleaning
@@ -67,6 +68,16 @@ def test_scores_stay_in_range_and_segments_are_complete(run):
     assert lake.read("warehouse", "seller_personas").where("persona = ''").count() == 0
 
 
+def test_stored_tables_are_packed(run):
+    lake, _, _ = run
+    assert all(f.endswith(".zstd.parquet") for f in lake.read("warehouse", "seller_segmentation").inputFiles())
+
+
+def test_item_metrics_are_stored_before_they_meet_orders(spark):
+    plan = Workspace.of(spark, SF_DIR).item_metrics._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "item-metrics" in plan
+
+
 def test_orders_are_stored_once(run):
     lake, _, _ = run
     facts = lake.read("warehouse", "fact_orders")
